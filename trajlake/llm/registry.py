@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trajlake.sources.tables import table
 
-from . import encode
+from . import budget, encode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +28,25 @@ def query(name: str, sql: str | None = None):
 def p6_ids(spark, folder):
     """Ids of every document by byte_bpe_50k."""
     return encode.encode_ids(table(spark, folder, "documents"))
+
+
+def _budget(spark, folder):
+    return budget.record_budget(table(spark, folder, "token_catalog"), table(spark, folder, "trajectories"))
+
+
+@query("p3_found", f"SELECT DISTINCT record_id FROM token_catalog WHERE {budget.UNUSABLE_SQL}")
+def p3_found(spark, folder):
+    """Records whose catalog count can't be used."""
+    return budget.found_unusable(_budget(spark, folder))
+
+
+@query("p3_records")
+def p3_records(spark, folder):
+    """Tokens of the records per source_family and type."""
+    return budget.budget_by_family(_budget(spark, folder))
+
+
+@query("p3_documents")
+def p3_documents(spark, folder):
+    """Tokens of the documents per source, lang and domain."""
+    return budget.document_budget(table(spark, folder, "documents"))
