@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trajlake.sources.tables import table
 
-from . import budget, encode
+from . import budget, encode, pack, pieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +51,49 @@ def p3_records(spark, folder):
 def p3_documents(spark, folder):
     """Tokens of the documents per source, lang and domain."""
     return budget.document_budget(table(spark, folder, "documents"))
+
+
+def _limit(spark, folder, purpose):
+    """The row of size_limits, a fixed table of two rows."""
+    return table(spark, folder, "size_limits").filter(F.col("purpose") == purpose).first()
+
+
+def _packed(spark, folder):
+    docs = table(spark, folder, "documents")
+    capacity = _limit(spark, folder, "container")["max_tokens"]
+    return pack.pack(encode.token_counts(docs), capacity, n_items=docs.count()), capacity
+
+
+@query("p7_found")
+def p7_found(spark, folder):
+    """Documents larger than a container."""
+    return pack.divided(_packed(spark, folder)[0])
+
+
+@query("p7_containers")
+def p7_containers(spark, folder):
+    """The container of every part of every document."""
+    return _packed(spark, folder)[0]
+
+
+@query("p7_fill")
+def p7_fill(spark, folder):
+    """How full the containers are."""
+    return pack.fill_report(*_packed(spark, folder))
+
+
+def _pieces(spark, folder):
+    limit = _limit(spark, folder, "piece")
+    return pieces.split(table(spark, folder, "documents"), limit["max_tokens"], limit["overlap_tokens"])
+
+
+@query("p8_found")
+def p8_found(spark, folder):
+    """Documents larger than a piece."""
+    return pieces.oversized(_pieces(spark, folder))
+
+
+@query("p8_pieces")
+def p8_pieces(spark, folder):
+    """The pieces of every document that is larger than a piece."""
+    return _pieces(spark, folder)
