@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trajlake.functions import keys
+from trajlake.session import work_table
 from trajlake.sources.tables import table
 
-from . import budget, encode, pack, pieces
+from . import budget, cap, encode, pack, pieces, plan_table, regroup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +99,78 @@ def p8_found(spark, folder):
 def p8_pieces(spark, folder):
     """The pieces of every document that is larger than a piece."""
     return _pieces(spark, folder)
+
+
+CAP = 3
+
+P4_SQL = f"""WITH {plan_table.PLANNED_SQL},
+ranked AS (SELECT record_id, row_number() OVER (PARTITION BY task, family ORDER BY coalesce(tier_rank, 1000000), record_id) AS n
+  FROM planned LEFT JOIN (SELECT {keys.tier_sql('quality_tier')} AS tier, min(tier_rank) AS tier_rank FROM tier_order GROUP BY 1) USING (tier))
+"""
+
+
+def _capped(spark, folder, draw):
+    rows = plan_table.planned(table(spark, folder, "dataset_plan"))
+    # a fixed table of four rows
+    order = table(spark, folder, "tier_order").groupBy(keys.tier_key(F.col("quality_tier")).alias("tier")).agg(F.min("tier_rank").alias("tier_rank"))
+    rows = rows.join(F.broadcast(order), "tier", "left")
+    tier = F.coalesce("tier_rank", F.lit(1_000_000))
+    if draw == "order":
+        return rows, cap.keep_per_contributor(rows, ["task", "family"], CAP, "record_id", tier, draw="order")
+    # a draw over all tiers: each tier weighs half of the tier before it
+    return rows, cap.keep_per_contributor(rows, ["task", "family"], CAP, "record_id", F.lit(0), F.pow(F.lit(0.5), F.least(tier, F.lit(20))))
+
+
+@query("p4_found", P4_SQL + f"SELECT record_id FROM ranked WHERE n > {CAP}")
+def p4_found(spark, folder):
+    """Planned records to give up."""
+    return cap.given_up(*_capped(spark, folder, "order"), "record_id")
+
+
+@query("p4_plan", P4_SQL + f"SELECT task, family, record_id FROM planned WHERE record_id IN (SELECT record_id FROM ranked WHERE n <= {CAP})")
+def p4_plan(spark, folder):
+    """The capped plan: records that stay, with their contributor."""
+    return _capped(spark, folder, "order")[1]
+
+
+@query("p4_sample")
+def p4_sample(spark, folder):
+    """A capped plan by weighted draw: better tiers stay more often, but none always."""
+    return _capped(spark, folder, "random")[1]
+
+
+def _components(spark, folder):
+    rows = work_table(plan_table.planned(table(spark, folder, "dataset_plan")), "planned")
+    return rows, regroup.components(rows, "record_id", "task")
+
+
+@query(
+    "p5_found",
+    f"""WITH {plan_table.PLANNED_SQL} SELECT record_id FROM planned WHERE split IS NOT NULL AND task IN
+(SELECT task FROM planned GROUP BY task HAVING count(DISTINCT split) > 1)""",
+)
+def p5_found(spark, folder):
+    """Planned records whose task stands in more than one split."""
+    rows, parts = _components(spark, folder)
+    return regroup.conflicting(rows, parts, "record_id", "split")
+
+
+def _regrouped(spark, folder):
+    rows, parts = _components(spark, folder)
+    # a fixed table of three rows
+    shares = {r["split_name"]: r["share"] for r in table(spark, folder, "split_shares").collect()}
+    return rows, regroup.new_splits(rows, parts, shares, "record_id", F.concat_ws("|", "family", "type"))
+
+
+@query("p5_splits")
+def p5_splits(spark, folder):
+    """A split for every planned record, with each task in one split."""
+    return _regrouped(spark, folder)[1]
+
+
+@query("p5_balance")
+def p5_balance(spark, folder):
+    """Records per new split, family and type, and the split's share of the family and type."""
+    rows, chosen = _regrouped(spark, folder)
+    counts = rows.join(chosen, "record_id").groupBy("family", "type", "new_split").agg(F.count(F.lit(1)).alias("records"))
+    return counts.withColumn("share", F.round(F.col("records") / F.sum("records").over(Window.partitionBy("family", "type")), 6))
