@@ -11,7 +11,7 @@ from trajlake.functions import keys
 from trajlake.session import work_table
 from trajlake.sources.tables import table
 
-from . import budget, cap, encode, pack, pieces, plan_table, regroup
+from . import budget, cap, encode, pack, pieces, plan_table, regroup, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -174,3 +174,22 @@ def p5_balance(spark, folder):
     rows, chosen = _regrouped(spark, folder)
     counts = rows.join(chosen, "record_id").groupBy("family", "type", "new_split").agg(F.count(F.lit(1)).alias("records"))
     return counts.withColumn("share", F.round(F.col("records") / F.sum("records").over(Window.partitionBy("family", "type")), 6))
+
+
+def _repeat_items(spark, folder):
+    yield repeats.trajectory_items(table(spark, folder, "trajectories")), repeats.TRAJECTORIES
+    yield repeats.document_items(table(spark, folder, "documents")), repeats.DOCUMENTS
+
+
+@query("p2_found")
+def p2_found(spark, folder):
+    """Records and documents that repeat themselves."""
+    a, b = (repeats.found(*x) for x in _repeat_items(spark, folder))
+    return a.unionByName(b)
+
+
+@query("p2_shares")
+def p2_shares(spark, folder):
+    """The share of repeated content of every record and document."""
+    a, b = (repeats.shares(*x) for x in _repeat_items(spark, folder))
+    return a.unionByName(b)
