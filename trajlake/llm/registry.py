@@ -11,7 +11,7 @@ from trajlake.functions import keys
 from trajlake.session import work_table
 from trajlake.sources.tables import table
 
-from . import budget, cap, encode, pack, pieces, plan_table, regroup, repeats
+from . import budget, cap, encode, overlap, pack, pieces, plan_table, regroup, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -193,3 +193,40 @@ def p2_shares(spark, folder):
     """The share of repeated content of every record and document."""
     a, b = (repeats.shares(*x) for x in _repeat_items(spark, folder))
     return a.unionByName(b)
+
+
+def _sequences(spark, folder):
+    rows = plan_table.planned(table(spark, folder, "dataset_plan")).filter("split IS NOT NULL")
+    sides = rows.select("record_id", F.when(F.col("split") == "train", "a").otherwise("b").alias("side"))
+    records = table(spark, folder, "trajectories").select("record_id", overlap.conversation().alias("text"))
+    return rows, overlap.sequences(records, sides)
+
+
+@query("p1_found")
+def p1_found(spark, folder):
+    """Pairs of a train and a validation or test record whose conversations are the same or almost."""
+    _, seqs = _sequences(spark, folder)
+    return overlap.record_pairs(overlap.similar_classes(seqs), overlap.members(seqs))
+
+
+def _links(spark, folder):
+    rows, seqs = _sequences(spark, folder)
+    links = overlap.class_links(overlap.similar_classes(seqs), overlap.members(seqs))
+    return links.join(rows.select("record_id", "split", "family"), "record_id")
+
+
+@query("p1_records")
+def p1_records(spark, folder):
+    """Class, number of links across splits and coverage of every planned record with a split."""
+    return _links(spark, folder).select("record_id", "split", "family", "class_id", "links", "coverage")
+
+
+@query("p1_report")
+def p1_report(spark, folder):
+    """Overlapping records per split and source_family."""
+    return _links(spark, folder).groupBy("split", "family").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("links") > 0).alias("overlapping"),
+        F.sum("links").alias("links"),
+        F.round(F.avg("coverage"), 6).alias("mean_coverage"),
+    )
