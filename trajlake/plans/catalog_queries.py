@@ -204,7 +204,7 @@ def verdict_tiers(spark, folder):
     return rows.groupBy(F.coalesce("verdict", F.lit("missing")).alias("verdict"), tier.alias("tier")).agg(F.count(F.lit(1)).alias("records"))
 
 
-@query("plan_gate_reasons", f"WITH {GATED} SELECT unnest(reasons) AS reason, count(*) AS records FROM gated GROUP BY ALL")
+@query("plan_gate_reasons", f"WITH {GATED} SELECT reason, count(*) AS records FROM (SELECT unnest(reasons) AS reason FROM gated) GROUP BY ALL")
 def plan_gate_reasons(spark, folder):
     return planning.reason_counts(gated_rows(spark, folder))
 
