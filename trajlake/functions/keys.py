@@ -44,8 +44,7 @@ def task_key(c: Column) -> Column:
     An identifier of another shape keeps its trimmed lower-case text.
     """
     bare = F.regexp_replace(F.regexp_replace(F.lower(narrow(c)), "(?s)@.*", ""), BLANK_ENDS, "")
-    part = lambda i: F.regexp_extract(bare, TASK, i)
-    return F.when(bare.rlike(TASK), F.concat(part(1), F.lit("_"), part(2), part(3))).otherwise(bare)
+    return F.regexp_replace(bare, TASK, "$1_$2$3")
 
 
 def _mapped(c: Column, names: dict[str, str]) -> Column:
@@ -111,8 +110,7 @@ def squeezed_sql(x: str) -> str:
 
 def task_sql(x: str) -> str:
     bare = rf"regexp_replace(regexp_replace(lower({narrow_sql(x)}), '(?s)@.*', ''), '{BLANK_ENDS}', '', 'g')"
-    pick = lambda i: f"regexp_extract({bare}, '{TASK}', {i})"
-    return f"CASE WHEN regexp_matches({bare}, '{TASK}') THEN {pick(1)} || '_' || {pick(2)} || {pick(3)} ELSE {bare} END"
+    return rf"regexp_replace({bare}, '{TASK}', '\1_\2\3')"
 
 
 def _mapped_sql(x: str, names: dict[str, str]) -> str:

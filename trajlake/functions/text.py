@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Numbers outside identifiers; prefixes of list items; ends of claims.
 NUMBER = re.compile(r"(?<![A-Za-z_])[-+]?\d+(?:,\d{3})*(?:\.\d+)?%?")
@@ -62,7 +63,7 @@ def support(answer: str, evidence: str) -> float:
     return round(sum(coverage(c, known, pairs) * len(c) for c in claims) / size, 6)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).strip())
 
@@ -72,7 +73,7 @@ def nfkc(c: Column) -> Column:
     return _nfkc(c)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _numbers(s: pd.Series) -> pd.Series:
     return s.map(lambda x: sorted(numbers_in(x)))
 
@@ -82,7 +83,10 @@ def numbers(c: Column) -> Column:
     return _numbers(c)
 
 
-EVIDENCE = "support double, gold_overlap double, gold_numbers int, gold_numbers_match boolean, unsupported_numbers int, documents_accessed int"
+EVIDENCE = T.StructType(
+    [T.StructField("support", T.DoubleType()), T.StructField("gold_overlap", T.DoubleType()), T.StructField("gold_numbers", T.IntegerType())]
+    + [T.StructField("gold_numbers_match", T.BooleanType()), T.StructField("unsupported_numbers", T.IntegerType()), T.StructField("documents_accessed", T.IntegerType())]
+)
 
 
 @F.pandas_udf(EVIDENCE)
@@ -93,7 +97,7 @@ def _evidence(answer: pd.Series, responses: pd.Series, calls: pd.Series, gold: p
         wanted, given = numbers_in(g), numbers_in(a)
         seen = folded(f"{r}\n{c}")
         rows.append((support(a, r), coverage(folded(g), folded(a)), len(wanted), wanted <= given, len(given - numbers_in(f"{r}\n{c}\n{i or ''}")), sum(folded(x) in seen for x in (() if d is None else d))))
-    return pd.DataFrame(rows, columns=["support", "gold_overlap", "gold_numbers", "gold_numbers_match", "unsupported_numbers", "documents_accessed"])
+    return pd.DataFrame(rows, columns=EVIDENCE.names)
 
 
 def evidence(answer: Column, responses: Column, calls: Column, gold: Column, instruction: Column, documents: Column) -> Column:

@@ -1,0 +1,208 @@
+"""Queries that join trajectories with manifests and verdicts: identity, candidates, evidence."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from trajlake.functions import calls as C
+from trajlake.functions import keys
+from trajlake.functions.labels import first_of
+from trajlake.functions.text import bigram_coverage, nfkc, numbers
+from trajlake.operators import audit, convert, identity, ingest, review
+from trajlake.sources.jsonl import file_version
+from trajlake.sources.tables import table
+
+from .catalog_queries import catalog, settled_verdicts
+from .message_queries import TR
+from .registry import query
+
+MANIFEST_FIELDS = ["citation", "expected_tables", "gold_answer", "instruction", "source_documents", "type", "verification_criteria"]
+
+
+def manifest(spark, folder):
+    rows = table(spark, folder, "task_manifest").withColumnRenamed("v", "version")
+    return rows.withColumn("task_id", keys.task_key(F.col("task_id")))
+
+
+def settled_manifest(spark, folder):
+    """One row a version and task, with conflict: whether rows of unlike contents exist."""
+    rows = manifest(spark, folder)
+    gold = F.coalesce(F.try_parse_json("gold_answer"), F.to_variant_object(F.array("gold_answer")))
+    rows = rows.withColumn("fingerprint", F.concat_ws("\1", review.manifest_fingerprint([f for f in MANIFEST_FIELDS if f != "gold_answer"]), F.to_json(gold)))
+    return ingest.first_of_key(rows, ["version", "task_id"], "fingerprint", ["fingerprint"])
+
+
+MANIFEST = f"""mf AS (SELECT v AS version, {keys.task_sql('task_id')} AS task_id, * EXCLUDE (v, task_id), concat_ws(chr(1), citation::VARCHAR, expected_tables::VARCHAR, gold_answer, coalesce(instruction, chr(2)), source_documents::VARCHAR, coalesce(type, chr(2)), verification_criteria::VARCHAR) AS fp FROM task_manifest)"""
+
+
+@query("manifest_conflicts", f"WITH {MANIFEST} SELECT version, task_id, min(fp) <> max(fp) AS conflict FROM mf GROUP BY ALL")
+def manifest_conflicts(spark, folder):
+    return settled_manifest(spark, folder).select("version", "task_id", "conflict")
+
+
+@query(
+    "manifest_ordinals",
+    f"""WITH {MANIFEST}, r AS (SELECT version, task_id, coalesce(nullif(regexp_extract(output, '([^/]+)/*$', 1), ''), task_id) AS k, coalesce(trim(instruction), '') AS i FROM mf WHERE instruction IS NOT NULL AND task_id IS NOT NULL)
+SELECT version, task_id, row_number() OVER (PARTITION BY version ORDER BY k, task_id, i) AS ordinal FROM r""",
+)
+def manifest_ordinals(spark, folder):
+    rows = manifest(spark, folder).select(F.col("version").alias("v"), "task_id", "instruction", "output", F.trim("instruction").alias("i"), F.col("task_id").alias("t"))
+    return identity.manifest_index(rows, F.col("instruction"), F.col("output"), ["t", "i"]).select("version", F.col("task").alias("task_id"), "ordinal")
+
+
+@query(
+    "expected_ids",
+    f"""WITH {MANIFEST} SELECT version, task_id, list_sort(list_distinct(list_filter(list_concat([citation.doc_id], coalesce(source_documents, [])), lambda x: x IS NOT NULL AND x <> ''))) AS documents,
+list_sort(list_distinct(list_filter(list_concat(coalesce(expected_tables, []), coalesce(verification_criteria.must_query_tables, [])), lambda x: x IS NOT NULL AND x <> ''))) AS tables FROM mf""",
+)
+def expected_ids(spark, folder):
+    rows = manifest(spark, folder)
+    documents = review.expected(F.col("citation.doc_id"), [F.col("source_documents")])
+    tables = review.expected(None, [F.col("expected_tables"), F.col("verification_criteria.must_query_tables")])
+    return rows.select("version", "task_id", F.array_sort(documents).alias("documents"), F.array_sort(tables).alias("tables"))
+
+
+def records(spark, folder):
+    """Trajectories, one row a record, with version, line, source (the task folder in _source) and first user text."""
+    rows = audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "source_file", "source_line", "_source", "messages", "ingested_at"))
+    folder_name = F.regexp_extract("_source", r"([^/]+)/[^/]+$", 1)
+    return rows.select(
+        "record_id",
+        "source_file",
+        file_version(F.col("source_file"), strict=False).alias("version"),
+        F.col("source_line").alias("line"),
+        F.when(folder_name != "", keys.task_key(folder_name)).alias("source"),
+        C.first_user(F.col("messages")).alias("user_text"),
+        "messages",
+    )
+
+
+def resolved(spark, folder, *keep):
+    rows = records(spark, folder).withColumn("text", nfkc(F.col("user_text")))
+    m = manifest(spark, folder)
+    # sources are task folders here, so the manifest's output is compared without its ending
+    m = m.select(F.col("version").alias("v"), "task_id", nfkc(F.col("instruction")).alias("instruction"), keys.task_key(F.regexp_replace("output", r"\.[a-z]+$", "")).alias("output"), F.col("task_id").alias("t"))
+    m = m.withColumn("output", F.regexp_extract("output", r"([^/]+)/*$", 1)).distinct()
+    index = identity.manifest_index(m, F.col("instruction"), keys.task_key(F.col("output")), ["t", "instruction"])
+    return identity.resolve(rows.select("record_id", "version", "line", "source", "text", *keep), index)
+
+
+# what NFKC and trimming change in these texts: width, and white space at the ends
+def text_sql(x: str) -> str:
+    return "regexp_replace(" + keys.narrow_sql(x) + r", '^\s+|\s+$', '', 'g')"
+
+
+FIRST_USER = text_sql("list_filter(messages, lambda m: m.role = 'user' AND m.content IS NOT NULL)[1].content")
+
+
+IDENTITY = f"""{TR}, {MANIFEST}, rec AS (SELECT record_id, regexp_extract(source_file, '_([0-9]{{8}}_v[0-9]+)_openai\\.jsonl$', 1) AS version, source_line AS line,
+  nullif(regexp_extract(_source, '([^/]+)/[^/]+$', 1), '') AS s0, {FIRST_USER} AS text FROM tr),
+rec2 AS (SELECT * EXCLUDE s0, CASE WHEN s0 IS NOT NULL THEN {keys.task_sql('s0')} END AS source FROM rec),
+m0 AS (SELECT DISTINCT version, task_id AS task, {text_sql('instruction')} AS text, regexp_extract(regexp_replace(output, '\\.[a-z]+$', ''), '([^/]+)/*$', 1) AS o0 FROM mf WHERE instruction IS NOT NULL AND task_id IS NOT NULL),
+m1 AS (SELECT version, task, text, CASE WHEN o0 <> '' THEN {keys.task_sql('o0')} END AS source FROM m0),
+ix AS (SELECT *, row_number() OVER (PARTITION BY version ORDER BY coalesce(source, task), task, text) AS ordinal FROM m1),
+bs AS (SELECT version, source, min(task) AS task FROM ix WHERE source IS NOT NULL GROUP BY ALL HAVING min(task) = max(task)),
+bt AS (SELECT version, text, min(task) AS task FROM ix GROUP BY ALL HAVING min(task) = max(task)),
+res AS (SELECT rec2.record_id, bs.task AS t1, CASE WHEN ix.text = rec2.text THEN ix.task END AS t2, bt.task AS t3 FROM rec2 LEFT JOIN bs ON bs.version = rec2.version AND bs.source = rec2.source
+  LEFT JOIN ix ON ix.version = rec2.version AND ix.ordinal = rec2.line LEFT JOIN bt ON bt.version = rec2.version AND bt.text = rec2.text)"""
+
+
+@query("identity_cascade", f"WITH {IDENTITY} SELECT record_id, coalesce(t1, t2, t3) AS task, CASE WHEN t1 IS NOT NULL THEN 'source' WHEN t2 IS NOT NULL THEN 'position' WHEN t3 IS NOT NULL THEN 'unique_text' ELSE 'unresolved' END AS method FROM res")
+def identity_cascade(spark, folder):
+    return resolved(spark, folder).select("record_id", "task", "method")
+
+
+def candidate_status(spark, folder):
+    """record_id, source_file and status: the first gate a record fails, or candidate."""
+    rows = resolved(spark, folder, "source_file", "messages")
+    verdicts = settled_verdicts(spark, folder).select(F.col("v").alias("version"), "task", "verdict")
+    rows = rows.join(verdicts, ["version", "task"], "left")
+    rows = convert.convert(rows).withColumn("calls", C.tool_calls(F.col("messages")))
+    tools = C.tools_status(F.col("calls"))
+    gates = [
+        (F.col("task").isNotNull(), "unaligned"),
+        (F.col("verdict").isNotNull(), "without_verdict"),
+        (F.col("verdict") == "correct", "not_correct"),
+        (F.col("error").isNull(), "conversion_error"),
+        (C.last_role(F.col("messages")) == "assistant", "not_ended_by_assistant"),
+        (F.size("calls") > 0, "without_tool_call"),
+        (tools == "canonical", "noncanonical_tools"),
+    ]
+    return rows.select("record_id", "source_file", first_of(gates, "candidate").alias("status"))
+
+
+@query("candidate_funnel")
+def candidate_funnel(spark, folder):
+    """Records by file and status, with a row for all files; tested against brute force."""
+    return candidate_status(spark, folder).groupingSets([["source_file", "status"], ["status"]], "source_file", "status").agg(F.count(F.lit(1)).alias("records"))
+
+
+def evidence_rows(spark, folder):
+    """Catalogued records with their manifest row and messages."""
+    m = settled_manifest(spark, folder)
+    gold, answer_type = review.gold_answer(F.col("gold_answer"))
+    m = m.select(
+        "version",
+        "task_id",
+        "conflict",
+        F.lit(True).alias("present"),
+        gold.alias("gold"),
+        answer_type.alias("answer_type"),
+        F.coalesce("instruction", F.lit("")).alias("instruction"),
+        review.expected(F.col("citation.doc_id"), [F.col("source_documents")]).alias("documents"),
+        F.array_distinct(F.transform(review.expected(None, [F.col("expected_tables"), F.col("verification_criteria.must_query_tables")]), lambda t: F.lower(t))).alias("tables"),
+    )
+    rows = catalog(spark, folder).select("record_id", "version", "task_id", "type", "quality_tier")
+    messages = audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "messages", "ingested_at")).select("record_id", "messages")
+    rows = rows.join(m, ["version", "task_id"], "left").join(messages, "record_id")
+    empty = F.array().cast("array<string>")
+    fill = {c: F.coalesce(c, d) for c, d in (("conflict", F.lit(False)), ("present", F.lit(False)), ("gold", F.lit("")), ("answer_type", F.lit("")), ("documents", empty), ("tables", empty))}
+    return rows.withColumns(fill)
+
+
+@query("evidence_decisions")
+def evidence_decisions(spark, folder):
+    """Status, reason and evidence of every catalogued record; tested against brute force."""
+    rows = review.with_evidence(evidence_rows(spark, folder))
+    return rows.select("record_id", review.decide(*review.evidence_rules()).alias("d"), "evidence", "tables_accessed").select("record_id", "d.*", "evidence.*", "tables_accessed")
+
+
+@query(
+    "gold_coverage",
+    f"""WITH {TR}, {MANIFEST}, g AS (SELECT version, task_id, min(gold_answer ->> '$') AS gold FROM mf WHERE gold_answer IS NOT NULL AND json_type(gold_answer) = 'VARCHAR' GROUP BY ALL),
+k AS (SELECT DISTINCT record_id, version, {keys.task_sql('task_id')} AS task_id FROM token_catalog),
+a AS (SELECT record_id, lower(regexp_replace(coalesce(list_filter(list_transform(list_filter(messages, lambda m: m.role = 'assistant'), lambda m: trim(coalesce(m.content, ''), chr(9) || chr(10) || chr(13) || ' ' || chr(12288))), lambda t: t <> '')[-1], ''), '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS b FROM tr),
+x AS (SELECT record_id, lower(regexp_replace(gold, '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS a, b FROM k JOIN g USING (version, task_id) JOIN a USING (record_id)),
+y AS (SELECT *, list_distinct(list_transform(range(1, greatest(1, length(a) - 1) + 1), lambda i: substr(a, i, 2))) AS ga, list_distinct(list_transform(range(1, greatest(1, length(b) - 1) + 1), lambda i: substr(b, i, 2))) AS gb FROM x)
+SELECT record_id, CASE WHEN a = '' OR b = '' THEN 0.0::DOUBLE WHEN contains(b, a) THEN 1.0::DOUBLE ELSE round_even(len(list_intersect(ga, gb))::DOUBLE / len(ga), 6) END AS coverage FROM y""",
+)
+def gold_coverage(spark, folder):
+    text = F.when(F.schema_of_variant(F.try_parse_json("gold_answer")) == "STRING", F.try_variant_get(F.try_parse_json("gold_answer"), "$", "string"))
+    gold = manifest(spark, folder).groupBy("version", "task_id").agg(F.min(text).alias("gold")).filter("gold IS NOT NULL")
+    rows = catalog(spark, folder).select("record_id", "version", "task_id").join(gold, ["version", "task_id"])
+    answers = audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "messages", "ingested_at")).select("record_id", C.final_answer(F.col("messages")).alias("answer"))
+    return rows.join(answers, "record_id").select("record_id", bigram_coverage(F.col("gold"), F.col("answer")).alias("coverage"))
+
+
+@query("answer_numbers")
+def answer_numbers(spark, folder):
+    """How many distinct numbers each final answer holds; tested against brute force."""
+    answers = audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "messages", "ingested_at")).select("record_id", C.final_answer(F.col("messages")).alias("answer"))
+    return answers.select("record_id", F.size(numbers(F.col("answer"))).alias("numbers"))
+
+
+@query("decision_samples")
+def decision_samples(spark, folder):
+    """Two records of each reason, with the answer cut to 200 characters."""
+    rows = review.with_evidence(evidence_rows(spark, folder)).select("record_id", "answer", review.decide(*review.evidence_rules()).alias("d")).select("record_id", "answer", "d.status", "d.reason")
+    return review.sample_per_reason(rows, ["record_id"], 2, 200, ("answer",))
+
+
+@query(
+    "decision_inputs",
+    f"""WITH {MANIFEST}, c AS (SELECT version, task_id, bool_or(fp <> lo) AS conflict FROM (SELECT *, min(fp) OVER (PARTITION BY version, task_id) AS lo FROM mf) GROUP BY ALL),
+k AS (SELECT DISTINCT record_id, version, {keys.task_sql('task_id')} AS task_id FROM token_catalog)
+SELECT coalesce(conflict, false) AS conflict, c.version IS NOT NULL AS present, count(*) AS records FROM k LEFT JOIN c USING (version, task_id) WHERE record_id IN (SELECT record_id FROM trajectories) GROUP BY ALL""",
+)
+def decision_inputs(spark, folder):
+    return evidence_rows(spark, folder).groupBy("conflict", "present").agg(F.count(F.lit(1)).alias("records"))
