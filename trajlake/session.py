@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     own = os.path.join(tempfile.gettempdir(), f"trajlake-{os.getpid()}")
     os.makedirs(own, exist_ok=True)
@@ -42,6 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def _remove(spark: SparkSession, path: str) -> None:
+    if path.startswith(("file:", "/")):
+        # the session may have ended before the interpreter
+        shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+        return
     try:
         jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
