@@ -10,7 +10,7 @@ reduced map-side to a minimum, never gathered. Rounds are written to the shared
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.session import work_table
@@ -62,8 +62,7 @@ def assign(groups: DataFrame, shares: dict[str, float], seed: int = 17) -> DataF
         raise ValueError("shares must be non-negative and not all zero")
     names = sorted(shares)
     per_stratum = groups.groupBy("stratum").agg(F.sum("n").alias("n"))
-    ranked = per_stratum.withColumn("k", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("stratum"))) - 1).filter(F.col("k") < STRATA)
-    known = {row["stratum"]: row["k"] for row in ranked.collect()}
+    known = {row["stratum"]: k for k, row in enumerate(per_stratum.orderBy(F.col("n").desc(), "stratum").limit(STRATA).collect())}
     all_records = per_stratum.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     code = F.coalesce(F.element_at(F.create_map(*[x for s, k in known.items() if s is not None for x in (F.lit(s), F.lit(k))]), F.col("stratum")), F.lit(known.get(None, STRATA))) if any(s is not None for s in known) else F.lit(STRATA)
     counts = groups.groupBy("component", code.alias("code")).agg(F.sum("n").alias("n"))
