@@ -34,13 +34,14 @@ def keep_per_contributor(df: DataFrame, contributor: list[str], cap: int, key: s
     """contributor columns and key of the records that stay: at most `cap` of each contributor.
 
     df must have one row a key. Null contributors form one contributor. tier: smaller is better, null
-    last; score: weight within a tier, default 1. Ties of the drawn key go to the smaller key column.
+    last; score: weight within a tier, default 1. Ties of the drawn key go to the smaller key column, which
+    must be a number for draw='order'.
     """
     if cap < 0 or draw not in ("random", "order"):
         raise ValueError("cap must not be negative, and draw is 'random' or 'order'")
     weight = F.lit(1.0) if score is None else score
-    # in 'order', all exponential variates are equal within a tier and the key column decides
-    drawn = exponential_key(weight, seed, key) if draw == "random" else F.lit(0.0)
+    # -variate / score, as in exponential_key; doubles keep the order of keys, and equal ones go by the key itself
+    drawn = exponential_key(weight, seed, key) if draw == "random" else -F.col(key).cast("double") / weight
     rows = df.select(*contributor, key, tier.alias("_tier"), drawn.alias("_draw"))
     w = Window.partitionBy(*contributor).orderBy(F.col("_tier").asc_nulls_last(), F.col("_draw").desc(), F.col(key).asc())
     return rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= cap).select(*contributor, key)
