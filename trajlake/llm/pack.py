@@ -99,6 +99,7 @@ def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
     its own, and a last part that is packed with the others. Items of size 0 or null (counted as 0)
     take a document's room only. attention: the largest sum of squared sizes in a container, by
     default capacity squared, the cost of one full item; parts are always admitted to an empty one.
+    Repeated keys are packed as items of their own in one shard; null keys are an ordinary key.
     n_items: the number of items if known, else they are counted.
     """
     attention = attention or float(capacity) ** 2

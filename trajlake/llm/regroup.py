@@ -26,7 +26,7 @@ STRATA = 256
 def components(edges: DataFrame, record: str, entity: str, max_rounds: int = 200) -> DataFrame:
     """record and component (the smallest record of it) of every record in edges.
 
-    edges: one row for each record and entity it has; rows repeat without harm. A record whose entity
+    edges: one row for each record and entity it has; rows repeat without harm, null records are left out. A record whose entity
     is null is a component of its own unless it has another edge. Ends when no label changes; raises
     if that takes more than max_rounds (each round doubles the reach by taking the label of the label).
     """
