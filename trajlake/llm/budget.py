@@ -1,9 +1,9 @@
 """Token budgets (problem 3).
 
-count_by_group splits texts into pre-tokens, adds up equal pre-tokens of a group before the shuffle,
-runs the merges once for each distinct pre-token (bpe.symbol_count), weights the surviving symbols by
-frequency and adds up to exact totals. The shuffle is by pre-token; a frequent pre-token arrives as
-one row per map batch and group, so no key holds a share of the corpus.
+count_by_group splits texts into pre-tokens and runs the merges once for each distinct pre-token of a
+task (bpe.symbol_count); the surviving symbols, weighted by how often the pre-token occurs, add up to
+exact totals. Only one sum for each task and group is shuffled: neither texts nor pre-tokens are, so a
+frequent pre-token or a group of a third of all rows costs no more than others.
 """
 
 from __future__ import annotations
@@ -20,53 +20,39 @@ from .bpe import symbol_count
 from .encode import CHUNK_CHARS
 from .vocab import default_vocab, ranks, safe_parts, splitter
 
-#: Distinct (group, pre-token) pairs a map task adds up before it sends them on.
+#: Groups a task adds up before it sends them on.
 FLUSH = 200_000
-#: Distinct pre-tokens whose counts a reduce task remembers.
+#: Distinct pre-tokens whose counts a task remembers before it starts anew.
 MEMO = 500_000
 
 
-def _pieces(group: str, text: str):
-    def flush(counts):
-        pairs = list(counts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([g for g, _ in pairs], pa.int64()), pa.array([p for _, p in pairs], pa.string()), pa.array([counts[x] for x in pairs], pa.int64())],
-            ["grp", "piece", "n"],
-        )
+def _count(path: str):
+    def flush(totals):
+        return pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], ["grp", "tokens"])
 
     def run(batches):
-        find = splitter().findall
-        counts: Counter = Counter()
-        for batch in batches:
-            for g, t in zip(batch.column(group).to_pylist(), batch.column(text).to_pylist()):
-                for part in safe_parts(t, CHUNK_CHARS):
-                    for piece, n in Counter(find(part)).items():
-                        counts[g, piece] += n
-                    if len(counts) >= FLUSH:
-                        yield flush(counts)
-                        counts.clear()
-        if counts:
-            yield flush(counts)
-
-    return run
-
-
-def _merge(path: str):
-    def run(batches):
-        table, memo = ranks(path), {}
+        table, find = ranks(path), splitter().findall
+        memo: dict[str, int] = {}
         totals: Counter = Counter()
         for batch in batches:
-            for g, p, n in zip(*(batch.column(c).to_pylist() for c in ("grp", "piece", "n"))):
-                if (size := memo.get(p)) is None:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    size = memo[p] = symbol_count(p.encode(), table)
-                totals[g] += size * n
+            for g, t in zip(batch.column("grp").to_pylist(), batch.column("txt").to_pylist()):
+                for part in safe_parts(t, CHUNK_CHARS):
+                    pieces = find(part)
+                    try:
+                        # each occurrence adds the count of its piece: the counts weighted by frequency
+                        totals[g] += sum(map(memo.__getitem__, pieces))
+                    except KeyError:
+                        if len(memo) > MEMO:
+                            memo.clear()
+                        for piece, n in Counter(pieces).items():
+                            if (size := memo.get(piece)) is None:
+                                size = memo[piece] = symbol_count(piece.encode(), table)
+                            totals[g] += size * n
             if len(totals) >= FLUSH:
-                yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], ["grp", "tokens"])
+                yield flush(totals)
                 totals.clear()
         if totals:
-            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], ["grp", "tokens"])
+            yield flush(totals)
 
     return run
 
@@ -77,9 +63,8 @@ def count_by_group(df: DataFrame, group: str, text: str, vocab: str | None = Non
     Null and empty texts count 0 and give no row of their own; a group without any text has no row.
     """
     some = df.filter(F.length(text) > 0).select(F.col(group).alias("grp"), F.col(text).alias("txt"))
-    pieces = some.mapInArrow(_pieces("grp", "txt"), "grp bigint, piece string, n bigint")
-    merged = pieces.repartition(F.col("piece")).mapInArrow(_merge(vocab or default_vocab()), "grp bigint, tokens bigint")
-    return merged.groupBy(F.col("grp").alias(group)).agg(F.sum("tokens").alias("tokens"))
+    sums = some.mapInArrow(_count(vocab or default_vocab()), "grp bigint, tokens bigint")
+    return sums.groupBy(F.col("grp").alias(group)).agg(F.sum("tokens").alias("tokens"))
 
 
 def document_budget(documents: DataFrame, vocab: str | None = None) -> DataFrame:
