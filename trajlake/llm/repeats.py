@@ -9,6 +9,7 @@ Shares: of a document, the words (in Chinese and Japanese, characters) that lie
 (CHAR_RUN) or more that occurred earlier in the text; digits, punctuation, case, width and white space
 don't count. Of a record, the tool calls that repeat an earlier call of the record: same name, equal
 arguments once parsed, or equal text if they can't be parsed. Null and empty items have share 0.
+Of repeated rows of an item, which are deliveries of the same content, one counts.
 """
 
 from __future__ import annotations
