@@ -133,7 +133,7 @@ def candidate_status(spark, folder):
 
 @query("candidate_funnel")
 def candidate_funnel(spark, folder):
-    """Records by file and status, with a row for all files; tested against brute force."""
+    """Records by file and status, with a row for all files; its gates are tested one by one."""
     return candidate_status(spark, folder).groupingSets([["source_file", "status"], ["status"]], "source_file", "status").agg(F.count(F.lit(1)).alias("records"))
 
 
@@ -162,7 +162,7 @@ def evidence_rows(spark, folder):
 
 @query("evidence_decisions")
 def evidence_decisions(spark, folder):
-    """Status, reason and evidence of every catalogued record; tested against brute force."""
+    """Status, reason and evidence of every catalogued record; rules and scores are tested on small cases."""
     rows = review.with_evidence(evidence_rows(spark, folder))
     return rows.select("record_id", review.decide(*review.evidence_rules()).alias("d"), "evidence", "tables_accessed").select("record_id", "d.*", "evidence.*", "tables_accessed")
 
