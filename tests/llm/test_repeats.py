@@ -1,17 +1,26 @@
 import json
 import random
+import unicodedata
 
 import numpy as np
 import pytest
 
 from trajlake.llm import repeats, trees
-from trajlake.llm.units import _LETTERS, covered, grams, letter_units, seen_before
+from trajlake.llm.units import grams, letter_units, repeated_units, repeated_windows
+
+
+def is_ideograph(c):
+    return any(lo <= c <= hi for lo, hi in ("぀ヿ", "㐀䶿", "一鿿", "豈﫿", "々〆", "\U00020000\U0003ffff"))
 
 
 def brute_share(text):
-    units = _LETTERS.findall((text or "").lower())
-    ideographs = sum(len(u) == 1 and ord(u) > 0x3000 for u in units)
-    run = 16 if units and 2 * ideographs >= len(units) else 8
+    """By the definition: letters only; words, or in Chinese and Japanese (half of the letters) characters."""
+    kept = "".join(c if c.isalpha() else " " for c in unicodedata.normalize("NFKC", text or "").lower())
+    letters = kept.replace(" ", "")
+    if letters and 2 * sum(map(is_ideograph, letters)) >= len(letters):
+        units, run = list(letters), 16
+    else:
+        units, run = "".join(f" {c} " if is_ideograph(c) else c for c in kept).split(), 8
     seen, hit = set(), set()
     for i in range(len(units) - run + 1):
         k = tuple(units[i : i + run])
@@ -25,6 +34,8 @@ def texts():
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
     out = ["", None, "a", "same word " * 4, "x " * 100, "1 2 3 4 5 6 7 8 9 " * 20, "中文" * 3, "这是一个很长的句子没有标点符号重复两次吧" * 2]
+    # a sentence of fewer than 16 ideographs and words, but of more letters; few ideographs among Latin words; punctuation in kana
+    out += ["分诊不累加吊车，除非order_id等于355。其他内容甲乙丙丁。分诊不累加吊车，除非order_id等于718。" * 2, "select a from b where 期间 = c and 范围 = d or e;\n" * 3, "カ・タ・カ・ナ・の・文" * 3, "ｗｉｄｅ　ｗｏｒｄｓ one " * 9]
     for i in range(120):
         words = [word() for _ in range(rng.randint(5, 120))]
         part = words[: rng.randint(1, len(words))]
@@ -45,11 +56,40 @@ def test_document_shares_match_brute_force(spark):
 
 
 def test_units():
-    assert len(letter_units("Ａb c1d 中文_x")) == 6
-    assert letter_units("Straße").tolist() == letter_units("STRASSE ").tolist() or len(letter_units("Straße")) == 1
+    units, letters = letter_units("Ａb c1d 中文_x")
+    assert len(units) == 6 and not letters
+    assert len(letter_units("STRASSE ")[0]) == 1 and letter_units("中文ab")[1] and not letter_units("中文abc")[1]
     assert len(grams(np.arange(5), 8)) == 0
-    assert covered(np.array([True, False, False, True]), 2) == 4 and covered(np.array([], bool), 3) == 0
-    assert seen_before(np.array([3, 1, 3, 3, 1])).tolist() == [False, False, True, True, True]
+    rows = [np.array(x, np.int64) for x in ([1, 2, 3, 1, 2, 9, 1, 2], [], [1, 2], [5, 5, 5, 5], [1])]
+    assert repeated_units(rows, 2).tolist() == [4, 0, 0, 3, 0] and repeated_windows(rows, 2).tolist() == [2, 0, 0, 2, 0]
+    assert repeated_units([], 2).tolist() == [] and repeated_windows(rows[1:2], 2).tolist() == [0]
+
+
+def test_bound_holds():
+    rng = np.random.default_rng(3)
+    for n in range(0, 300, 3):
+        units = rng.integers(0, rng.integers(1, 60), n)
+        units = np.concatenate([units, units[: n // 2], rng.integers(0, 9, n // 4), units[n // 3 :]])
+        items = [(units, bool(n % 2))]
+        (x,), (most,) = repeats.doc_features(items)
+        assert most >= repeats.doc_share(items)[0, 0] and len(x) == len(repeats.DOC_MONOTONE)
+
+
+def test_bad_trees_lose_nothing(spark):
+    """A gate whose trees score everything low still gives every case, by the bound."""
+    rows = list(enumerate(texts()))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    nothing = trees.fit(np.empty((0, 3)), np.empty(0), repeats.DOC_MONOTONE)
+    got = df.mapInArrow(repeats._scored(repeats.DOCUMENTS, nothing, 1.0), repeats.SCORED).collect()
+    assert {r["item_id"] for r in got if repeats.DOCUMENTS.reached(r["repeated"], r["size"])} == {i for i, t in rows for a, n in [brute_share(t)] if n and a / n >= 0.3}
+
+
+def test_blocks_cut_long_texts():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(["x" * 3_000_000, None, "y" * 3_000_000, "z" * 9_000_000, ""])], ["id", "text"])
+    parts = list(repeats._blocks(batch))
+    assert [p.num_rows for p in parts] == [2, 1, 1, 1] and pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
 
 
 def call(name, arguments):

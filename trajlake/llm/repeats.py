@@ -1,15 +1,23 @@
 """Repetition inside a single document or record (problem 2).
 
-Cheap statistics of every item go through gradient-boosted trees (trees.py), fitted to the exact share
-of repeated content on a bounded sample; items that score above a cutoff well below that of any
-positive of the sample are then measured exactly. Statistics, scores and exact check are one pass over
-the data: an item is read once and nothing but its result leaves the task.
-
-Shares: of a document, the words (in Chinese and Japanese, characters) that lie in runs of WORD_RUN
-(CHAR_RUN) or more that occurred earlier in the text; digits, punctuation, case, width and white space
-don't count. Of a record, the tool calls that repeat an earlier call of the record: same name, equal
-arguments once parsed, or equal text if they can't be parsed. Null and empty items have share 0.
-Of repeated rows of an item, which are deliveries of the same content, one counts.
+Statistics of every item go through gradient-boosted trees (trees.py), fitted to the exact share of
+repeated content on a bounded sample. An item is measured exactly if the trees score it above a cutoff
+or if a bound can't rule it out; it is given up only if its score is low and the bound proves that its
+share is below the limit. So whatever the trees learn, no case is lost; what they and the bound save
+is the measuring of the others. Statistics, scores and exact check are one pass over the data: an item
+is read once and nothing but its result leaves the task.
+
+The bounds. Of a document: if c of its units lie in runs of `run` units that occurred before, at least
+c (run - k + 1) / run of its windows of k units occurred before, as each run holds run - k + 1 of them.
+Of a record: equal calls have equal names, so at most calls - distinct names repeat an earlier one.
+
+Shares: of a document, the words that lie in runs of WORD_RUN or more that occurred earlier in the
+text; of a Chinese or Japanese one (at least half of the letters are ideographs or kana) the letters
+in runs of CHAR_RUN or more, those of Latin words in it too. Digits, punctuation, case, width and
+white space don't count; an ideograph in another text is a word. Of a record, the tool calls that
+repeat an earlier call of the record: same name, equal arguments once parsed, or equal text if they
+can't be parsed. Null and empty items have share 0. Of repeated rows of an item, which are deliveries
+of the same content, one counts.
 """
 
 from __future__ import annotations
@@ -18,49 +26,53 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import trees
-from .units import covered, grams, ideographic, letter_units, seen_before
+from .units import OWNER_BITS, letter_units, repeated_units, repeated_windows
 
 WORD_RUN, CHAR_RUN = 8, 16
 DOC_SHARE, CALL_SHARE, LEAST_CALLS = 0.30, 0.40, 4
 #: Labelled rows the trees are fitted to, about; the only thing that comes to the driver.
 SAMPLE = 4_000
-#: Rows whose statistics are scored together.
-BLOCK = 2_000
+#: Items whose statistics are computed and scored together, and characters of them.
+BLOCK, BLOCK_CHARS = 1 << OWNER_BITS, 4_000_000
 
-#: Features of documents: length, share of distinct units, and shares of windows of a quarter, half and
-#: three quarters of the run that occurred before. A repeated stretch repeats its windows, so the score
-#: must not fall as their shares grow.
-DOC_MONOTONE = [0, -1, 1, 1, 1]
-#: Features of records: number of calls, and shares of calls whose name, unparsed text, or bag of letters
-#: and digits occurred before. Equal calls have equal names, so the score must not fall as these grow.
-CALL_MONOTONE = [0, 1, 1, 1]
+#: Features of documents: length, whether letters are units, and share of windows of half a run that
+#: occurred before. A repeated stretch repeats its windows, so the score must not fall as their share grows.
+DOC_MONOTONE = [0, 0, 1]
+#: Features of records: number of calls, and shares of calls whose name, or name and unparsed arguments,
+#: occurred before. Equal calls have equal names, so the score must not fall as these grow.
+CALL_MONOTONE = [0, 1, 1]
 
 
-def doc_prepare(text: str) -> tuple[np.ndarray, int]:
-    units = letter_units(text) if text else np.empty(0, np.int64)
-    return units, CHAR_RUN if ideographic(units) else WORD_RUN
+def doc_prepare(text: str | None) -> tuple[np.ndarray, bool]:
+    return letter_units(text) if text else (np.empty(0, np.int64), False)
 
 
-def doc_features(item) -> list[float]:
-    units, run = item
-    n = len(units)
-    if not n:
-        return [0.0, 1.0, 0.0, 0.0, 0.0]
-    shares = []
-    for k in (run // 4, run // 2, 3 * run // 4):
-        h = grams(units, k)
-        shares.append(1.0 - len(np.unique(h)) / len(h) if len(h) else 0.0)
-    return [float(np.log1p(n)), len(np.unique(units)) / n, *shares]
+def _by_run(items: list, count) -> np.ndarray:
+    """count(sequences, run) of the items, those of one run together."""
+    out = np.zeros(len(items), np.int64)
+    for letters, run in ((False, WORD_RUN), (True, CHAR_RUN)):
+        at = [i for i, (_, x) in enumerate(items) if x == letters]
+        out[at] = count([items[i][0] for i in at], run)
+    return out
+
 
+def doc_features(items: list) -> tuple[np.ndarray, np.ndarray]:
+    """Features, and the largest number of units that may lie in repeated runs."""
+    size = np.array([len(u) for u, _ in items], np.int64)
+    letters = np.array([x for _, x in items], bool)
+    again = _by_run(items, lambda s, run: repeated_windows(s, run // 2))
+    half = np.where(letters, CHAR_RUN, WORD_RUN) // 2
+    return np.stack([np.log1p(size), letters, again / np.maximum(1, size)], axis=1), again * 2 * half // (half + 1)
 
-def doc_share(item) -> tuple[int, int]:
-    """(units in repeated runs, units)"""
-    units, run = item
-    return covered(seen_before(grams(units, run)), run), len(units)
+
+def doc_share(items: list) -> np.ndarray:
+    """units in repeated runs and units of each item, as two columns"""
+    return np.stack([_by_run(items, repeated_units), np.array([len(u) for u, _ in items], np.int64)], axis=1)
 
 
 def calls_of(texts: list[str | None] | None) -> list[tuple[str, object]]:
@@ -108,19 +120,16 @@ def signature(call) -> tuple[str, str, str]:
     return name, "parsed", canonical(arguments)
 
 
-def call_features(calls) -> list[float]:
-    n = len(calls)
-    if not n:
-        return [0.0, 0.0, 0.0, 0.0]
-    raw = [(name, a if isinstance(a, str) else canonical(a)) for name, a in calls]
-    bags = {(name, "".join(sorted(filter(str.isalnum, a)))) for name, a in raw}
-    repeated = lambda distinct: 1.0 - len(distinct) / n
-    return [float(n), repeated({name for name, _ in raw}), repeated(set(raw)), repeated(bags)]
+def call_features(items: list) -> tuple[np.ndarray, np.ndarray]:
+    """Features, and the largest number of calls that may repeat an earlier one."""
+    counts = [(len(calls), len({name for name, _ in calls}), len({(name, a if isinstance(a, str) else repr(a)) for name, a in calls})) for calls in items]
+    n, names, texts = np.array(counts, np.int64).reshape(-1, 3).T
+    return np.stack([n, (n - names) / np.maximum(1, n), (n - texts) / np.maximum(1, n)], axis=1), n - names
 
 
-def call_share(calls) -> tuple[int, int]:
-    """(calls that repeat an earlier one, calls)"""
-    return len(calls) - len({signature(c) for c in calls}), len(calls)
+def call_share(items: list) -> np.ndarray:
+    """calls that repeat an earlier one and calls of each item, as two columns"""
+    return np.array([(len(calls) - len({signature(c) for c in calls}), len(calls)) for calls in items], np.int64).reshape(-1, 2)
 
 
 class Kind:
@@ -131,6 +140,10 @@ class Kind:
         self.prepare, self.features, self.measure = prepare, features, measure
         self.monotone, self.share, self.least = monotone, share, least
 
+    def reached(self, repeated, size):
+        """Whether the share sought is reached; for numpy arrays and columns."""
+        return (size >= self.least) & (repeated >= size * self.share - 1e-9)
+
 
 DOCUMENTS = Kind("document", "doc_id", "text", doc_prepare, doc_features, doc_share, DOC_MONOTONE, DOC_SHARE, 1)
 TRAJECTORIES = Kind("trajectory", "record_id", "calls", calls_of, call_features, call_share, CALL_MONOTONE, CALL_SHARE, LEAST_CALLS)
@@ -145,16 +158,31 @@ def trajectory_items(trajectories: DataFrame) -> DataFrame:
     return trajectories.select("record_id", F.col("messages.tool_calls").alias("calls"))
 
 
+def _blocks(batch):
+    """Parts of a batch of at most BLOCK rows and about BLOCK_CHARS characters (of single texts)."""
+    column = batch.column(1)
+    begin = 0
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    else:
+        ends = np.zeros(len(column), np.int64)
+    while begin < len(column):
+        full = int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + BLOCK_CHARS, side="right"))
+        end = min(len(column), begin + BLOCK, max(begin + 1, full))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _labelled(kind: Kind):
-    width = len(kind.monotone)
+    names = [*(f"x{j}" for j in range(len(kind.monotone))), "y"]
 
     def run(batches):
         for batch in batches:
-            items = [kind.prepare(v) for v in batch.column(1).to_pylist()]
-            x = [kind.features(i) for i in items]
-            y = [(a / b if b >= kind.least else 0.0) for a, b in map(kind.measure, items)]
-            columns = [pa.array([r[j] for r in x], pa.float64()) for j in range(width)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(y, pa.float64())], [*(f"x{j}" for j in range(width)), "y"])
+            for part in _blocks(batch):
+                items = [kind.prepare(v) for v in part.column(1).to_pylist()]
+                repeated, size = kind.measure(items).T
+                y = np.where(size >= kind.least, repeated / np.maximum(1, size), 0.0)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in (*kind.features(items)[0].T, y)], names)
 
     return run
 
@@ -173,47 +201,54 @@ def fit(items: DataFrame, kind: Kind, sample: int = SAMPLE, seed: int = 17) -> t
     rows = items.mapInArrow(_labelled(kind), schema).toPandas().sort_values([*(f"x{j}" for j in range(width)), "y"]).to_numpy()
     x, y = rows[:, :-1], rows[:, -1]
     forest = trees.fit(x, y, kind.monotone)
-    positive = y >= kind.share
+    positive = y >= kind.share - 1e-9
     if not positive.any():
         return forest, float("-inf")
     return forest, min(float(forest.score(x[positive]).min()), kind.share) / 2
 
 
+SCORED = "item_id bigint, score double, ruled_out boolean, repeated bigint, size bigint"
+
+
 def _scored(kind: Kind, forest: trees.Forest | None, cutoff: float):
+    """Score and exact counts of the items; only of those that trees or bound admit where there is a forest."""
+
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(at, BLOCK)
+            for part in _blocks(batch):
                 items = [kind.prepare(v) for v in part.column(1).to_pylist()]
-                if forest is None:
-                    chosen = range(len(items))
-                    score = np.full(len(items), np.nan)
-                else:
-                    score = forest.score(np.array([kind.features(i) for i in items], float).reshape(len(items), -1))
-                    chosen = np.flatnonzero(score >= cutoff)
-                counts = [kind.measure(items[i]) for i in chosen]
+                chosen = np.arange(len(items))
+                score, out = np.full(len(items), np.nan), np.zeros(len(items), bool)
+                if forest is not None and items:
+                    x, most = kind.features(items)
+                    score = forest.score(x)
+                    out = ~kind.reached(most, np.array([len(i) if isinstance(i, list) else len(i[0]) for i in items], np.int64))
+                    chosen = np.flatnonzero((score >= cutoff) | ~out)
+                counts = kind.measure([items[i] for i in chosen])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(list(chosen), pa.int64())), pa.array([float(score[i]) for i in chosen], pa.float64()), pa.array([a for a, _ in counts], pa.int64()), pa.array([b for _, b in counts], pa.int64())],
-                    ["item_id", "score", "repeated", "size"],
+                    [part.column(0).take(pa.array(chosen)), pa.array(score[chosen]), pa.array(out[chosen]), pa.array(counts[:, 0]), pa.array(counts[:, 1])],
+                    ["item_id", "score", "ruled_out", "repeated", "size"],
                 )
 
     return run
 
 
 def candidates(items: DataFrame, kind: Kind, sample: int = SAMPLE) -> DataFrame:
-    """item_id, score, repeated and size of the items the trees single out, measured exactly; one row an item."""
+    """item_id, score, ruled_out, repeated and size of the items that trees or bound admit, measured exactly; one row an item.
+
+    ruled_out: whether the bound alone would have given the item up. Null ids are one item.
+    """
     forest, cutoff = fit(items, kind, sample)
-    return items.mapInArrow(_scored(kind, forest, cutoff), "item_id bigint, score double, repeated bigint, size bigint").dropDuplicates(["item_id"])
+    return items.mapInArrow(_scored(kind, forest, cutoff), SCORED).dropDuplicates(["item_id"])
 
 
 def shares(items: DataFrame, kind: Kind) -> DataFrame:
-    """item_kind, item_id, repeated, size and share of every item; share 0 of an empty one; one row an item."""
-    rows = items.mapInArrow(_scored(kind, None, 0.0), "item_id bigint, score double, repeated bigint, size bigint").dropDuplicates(["item_id"])
+    """item_kind, item_id, repeated, size and share of every item, measured without a gate; share 0 of an empty one; one row an item."""
+    rows = items.mapInArrow(_scored(kind, None, 0.0), SCORED).dropDuplicates(["item_id"])
     return rows.select(F.lit(kind.name).alias("item_kind"), "item_id", "repeated", "size", F.when(F.col("size") > 0, F.col("repeated") / F.col("size")).otherwise(0.0).alias("share"))
 
 
 def found(items: DataFrame, kind: Kind, sample: int = SAMPLE) -> DataFrame:
     """item_kind and item_id of the items whose share of repeated content reaches the kind's limit."""
     rows = candidates(items, kind, sample)
-    hit = (F.col("size") >= kind.least) & (F.col("repeated") >= F.col("size") * kind.share - 1e-9)
-    return rows.filter(hit).select(F.lit(kind.name).alias("item_kind"), "item_id")
+    return rows.filter(kind.reached(F.col("repeated"), F.col("size"))).select(F.lit(kind.name).alias("item_kind"), "item_id")

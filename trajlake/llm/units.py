@@ -17,7 +17,10 @@ IDEOGRAPHS = "々〆぀-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
 #: Distinct units a worker remembers before it starts anew.
 MEMO = 400_000
 
-_LETTERS = re.compile(f"[{IDEOGRAPHS}]|[^\\W\\d_{IDEOGRAPHS}]+")
+# The same without signs that aren't letters (middle dot, combining marks).
+IDEOGRAPH_LETTERS = "々〆ぁ-ゖゝ-ゟァ-ヺー-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
+_LETTERS = re.compile(f"[{IDEOGRAPH_LETTERS}]|[^\\W\\d_{IDEOGRAPHS}]+")
+_IDEOGRAPH_RUNS = re.compile(f"[{IDEOGRAPHS}]+")
 _WORDS = re.compile(f"[{IDEOGRAPHS}]|[^\\W_{IDEOGRAPHS}]+")
 _FOLDERS = re.compile(r"(?:[A-Za-z]:)?[A-Za-z0-9_.~\-]*[/\\](?:[A-Za-z0-9_.~\-]+[/\\])*(?=[A-Za-z0-9_.~\-])")
 
@@ -49,9 +52,16 @@ def hashes() -> Hashes:
     return Hashes()
 
 
-def letter_units(text: str) -> np.ndarray:
-    """Words without digits, punctuation, case and width; ideographs one by one."""
-    return hashes().of(_LETTERS.findall(unicodedata.normalize("NFKC", text).lower()))
+def letter_units(text: str) -> tuple[np.ndarray, bool]:
+    """Words without digits, punctuation, case and width, an ideograph being a word of its own; and False.
+
+    Of a text at least half of whose letters are ideographs: all letters one by one; and True.
+    """
+    words = _LETTERS.findall(text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).lower())
+    joined = "".join(words)
+    if not joined.isascii() and 2 * sum(map(len, _IDEOGRAPH_RUNS.findall(joined))) >= len(joined):
+        return np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.int64), True
+    return hashes().of(words), False
 
 
 def word_units(text: str) -> np.ndarray:
@@ -62,11 +72,6 @@ def word_units(text: str) -> np.ndarray:
     return hashes().of(_WORDS.findall(plain))
 
 
-def ideographic(units: np.ndarray) -> bool:
-    """Whether at least half of the units are ideographs."""
-    return len(units) > 0 and 2 * int((units & 1).sum()) >= len(units)
-
-
 #: Fixed odd multiplier of the rolling hashes.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -88,19 +93,37 @@ def grams(units: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def covered(flags: np.ndarray, n: int) -> int:
-    """How many positions lie in a run of n that starts at a flagged position."""
-    if not len(flags):
-        return 0
-    edges = np.zeros(len(flags) + n, np.int32)
-    at = np.flatnonzero(flags)
-    np.add.at(edges, at, 1)
-    np.add.at(edges, at + n, -1)
-    return int((np.cumsum(edges[:-1]) > 0).sum())
+def _windows(sequences: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sequences laid end to end: the sequence of each unit; start and rolling hash of each window within one sequence."""
+    owner = np.repeat(np.arange(len(sequences)), [len(s) for s in sequences])
+    h = grams(np.concatenate([np.empty(0, np.int64), *sequences]), n)
+    start = np.flatnonzero(owner[: len(h)] == owner[n - 1 :]) if len(h) else np.empty(0, np.int64)
+    return owner, start, h[start]
+
 
+#: Sequences handled at once have numbers of so many bits, which leave the others of 64 to a hash.
+OWNER_BITS = 11
 
-def seen_before(h: np.ndarray) -> np.ndarray:
-    """Flags of the elements that equal an earlier one."""
-    flags = np.ones(len(h), bool)
-    flags[np.unique(h, return_index=True)[1]] = False
-    return flags
+
+def repeated_windows(sequences: list[np.ndarray], n: int) -> np.ndarray:
+    """For each sequence, how many of its windows of n units equal an earlier one; never too few (equal hashes count as equal)."""
+    owner, start, h = _windows(sequences, n)
+    at = owner[start]
+    keys = np.sort((at.astype(np.uint64) << np.uint64(64 - OWNER_BITS)) | (h >> np.uint64(OWNER_BITS)))
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    distinct = np.bincount((keys[new] >> np.uint64(64 - OWNER_BITS)).astype(np.int64), minlength=len(sequences))
+    return np.bincount(at, minlength=len(sequences)) - distinct
+
+
+def repeated_units(sequences: list[np.ndarray], n: int) -> np.ndarray:
+    """For each sequence, how many of its units lie in windows of n units that equal an earlier one."""
+    owner, start, h = _windows(sequences, n)
+    with np.errstate(over="ignore"):
+        keys = h ^ (owner[start].astype(np.uint64) * BASE)
+    again = np.ones(len(keys), bool)
+    again[np.unique(keys, return_index=True)[1]] = False
+    edges = np.zeros(len(owner) + n, np.int32)
+    np.add.at(edges, start[again], 1)
+    np.add.at(edges, start[again] + n, -1)
+    return np.bincount(owner[np.cumsum(edges[: len(owner)]) > 0], minlength=len(sequences))
