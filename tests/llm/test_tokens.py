@@ -137,3 +137,44 @@ def test_pieces_end_at_the_strongest_boundary(spark):
     assert rows[0]["boundary"] == "paragraph" and {r["boundary"] for r in rows} <= {"paragraph", "sentence", "word", "end"}
     with pytest.raises(ValueError):
         pieces.split(documents(spark, [text]), 20, 15)
+
+
+def test_far_boundaries_go_by_strength_too(spark):
+    """No boundary in the last half: the early paragraph end is taken, not the last end of a character."""
+    # every token but the paragraph's is one of a long run without a boundary
+    text = "a few words. And more\n\n" + "中" * 150
+    rows = pieces.split(documents(spark, [text]), 100, 0).orderBy("piece").collect()
+    assert rows[0]["boundary"] == "paragraph" and rows[0]["text"].startswith("a few words. And more\n") and rows[0]["n_tokens"] <= 10
+    assert "".join(r["text"] for r in rows) == text
+    text = "x, y" + "中" * 150
+    assert [r["boundary"] for r in pieces.split(documents(spark, [text]), 100, 0).orderBy("piece").limit(1).collect()] == ["clause"]
+
+
+def test_boundary_strengths():
+    text = "one, two. Three\nfour\n \n five。六：七 8.5 nine"
+    ids = brute(text)
+    cls, texts, back = pieces._classes(text, ids, PATH)
+    assert "".join(texts) == text and len(texts) == len(ids) == len(cls)
+    assert back.tolist() == [len(cls[:i]) - len(cls[:i].rstrip("x")) for i in range(len(cls))]
+    shown = {"".join(texts[: i + 1]): c for i, c in enumerate(cls) if c != "x"}
+    assert shown["one,"] == "k" and shown["one, two."] == "s" and shown["one, two. Three"] == "l" and shown["one, two. Three\nfour"] == "p"
+    assert next(c for t, c in shown.items() if t.endswith("。")) == "s" and next(c for t, c in shown.items() if t.endswith("：")) == "k"
+    assert next(c for t, c in shown.items() if t.endswith("8.")) not in "sk"
+
+
+def test_long_runs_are_no_hazard():
+    import time
+
+    for text in (" " * 300_000, "." * 300_000, "a" * 300_000, "\n" * 300_000, "，" * 100_000):
+        began = time.time()
+        ids = pieces._ids(text, PATH)
+        assert len(pieces._classes(text, ids, PATH)[0]) == len(ids)
+        assert time.time() - began < 20
+
+
+def test_repeated_keys_and_clashing_names(spark):
+    text = "some words and more. " * 40
+    df = spark.createDataFrame([(1, text, "x"), (1, text, "y"), (None, text, "z")], "doc_id bigint, text string, ids string")
+    rows = pieces.split(df, 64, 8).collect()
+    one = len(pieces.split(df.filter("ids = 'x'"), 64, 8).collect())
+    assert len(rows) == 3 * one and sum(r["doc_id"] is None for r in rows) == one

@@ -3,7 +3,8 @@
 A text is encoded, and each token becomes one character that tells the strength of the boundary after
 it. A regular expression with bounded quantifiers, its alternatives ordered by strength, then takes
 one piece after the other from this string; positions, overlap and text of the pieces follow by SQL
-array functions. Bounds are in tokens, so the limit holds exactly.
+array functions. Bounds are in tokens, so the limit holds exactly. The text goes along as an array of
+what each token completes, so a piece is a slice and costs its own length, not that of its text.
 """
 
 from __future__ import annotations
@@ -19,74 +20,96 @@ from .vocab import default_vocab, encoder, safe_parts, token_bytes
 # The strengths, weakest first. x is no end of a character.
 STRENGTHS = "xcwkslp"
 NAMES = {"p": "paragraph", "l": "line", "s": "sentence", "k": "clause", "w": "word", "c": "character"}
-# What a boundary of each strength follows.
-ENDS = {"p": r"\n\s*\n+", "l": r"[\n\r  ]+", "s": r"[.!?]+[\"')\]]*(?=\s)|[。！？；…]+[”’」』）]*", "k": r"[,;:](?=\s)|[，、：]"}
+# What ends a sentence or a clause; closing quotes and brackets go with it.
+SENTENCE = r"(?:(?<![.!?])[.!?]++[\"')\]]*+(?=\s|$)|(?<![。！？；…])[。！？；…]++[”’」』）]*+)"
+CLAUSE = r"(?:[,;:](?=\s)|[，、：])"
+WORD = r"(?<=\p{L})(?=[^\p{L}])|(?<=\p{N})(?=[^\p{N}])"
+BREAKS = "\r\u2028\u2029"
 #: A character has at most four bytes, so at most three tokens end inside it.
 INSIDE = 3
+#: Tokens of the texts that are sent to the JVM in one batch, about.
+BATCH_TOKENS = 500_000
 
 
-def _classes(text: str, path: str) -> tuple[list[int], str, np.ndarray]:
-    """Ids; strength after each token; characters completed up to the end of each token."""
+def _ids(text: str, path: str) -> list[int]:
+    enc, ids = encoder(path).encode_ordinary, []
+    for part in safe_parts(text, CHUNK_CHARS):
+        ids.extend(enc(part))
+    return ids
+
+
+def _classes(text: str, ids: list[int], path: str) -> tuple[str, list[str], np.ndarray]:
+    """Strength after each token; the characters that each token completes; and of each token how many
+    tokens right before it end inside a character.
+
+    A boundary reaches over the white space that follows it, as tokens may end anywhere in it.
+    """
     import regex
 
-    enc, table = encoder(path), token_bytes(path)
-    ids: list[int] = []
-    for part in safe_parts(text, CHUNK_CHARS):
-        ids.extend(enc.encode_ordinary(part))
+    table = token_bytes(path)
     raw = np.frombuffer(text.encode(), np.uint8)
-    starts = np.flatnonzero((raw & 0xC0) != 0x80)  # first byte of each character
+    starts = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # first byte of each character
     ends = np.cumsum([len(table[i]) for i in ids])
-    chars = np.searchsorted(starts, ends)  # characters that start before the token's end
-    whole = np.isin(ends, starts) | (ends == len(raw))
-    level = np.where(whole, 1, 0).astype(np.uint8)
-
-    def raise_to(pattern: str, strength: int):
-        at = np.fromiter((m.end() for m in regex.finditer(pattern, text)), np.int64)
-        if len(at):
-            pos = np.searchsorted(chars, at, side="right") - 1  # the last token that ends at or before it
-            pos = pos[(pos >= 0)]
-            ok = np.isin(chars[pos], at) & (level[pos] > 0)
-            level[pos[ok]] = strength
-
-    # a word ends before white space, and after a letter or digit that another kind of character follows
-    raise_to(r"(?=\s)(?<=\S)|(?<=\p{L})(?=[^\p{L}])|(?<=\p{N})(?=[^\p{N}])|(?<=\s)(?=\S)", 2)
-    for strength, name in ((3, "k"), (4, "s"), (5, "l"), (6, "p")):
-        raise_to(ENDS[name], strength)
-    return ids, "".join(map(STRENGTHS.__getitem__, level.tolist())), np.where(whole, chars, chars - 1)
-
-
-def _classify(path: str, key: str, text: str, limit: int):
+    chars = np.searchsorted(starts, ends, side="right") - 1  # characters completed up to each token's end
+    whole = starts[chars] == ends
+    level = whole.astype(np.uint8)
+
+    def raise_to(strength: int, spans: list[tuple[int, int]]):
+        if spans:
+            lo, hi = np.array(spans).T
+            edges = np.zeros(len(ids) + 1, np.int32)
+            np.add.at(edges, np.searchsorted(chars, lo, side="left"), 1)
+            np.add.at(edges, np.searchsorted(chars, hi, side="right"), -1)
+            level[(np.cumsum(edges[:-1]) > 0) & whole] = strength
+
+    blanks: dict[int, list[tuple[int, int]]] = {2: [m.span() for m in regex.finditer(WORD, text)], 5: [], 6: []}
+    for m in regex.finditer(r"\s+", text):
+        run = m.group()
+        lines = run.count("\n")
+        blanks[6 if lines > 1 else 5 if lines or any(b in run for b in BREAKS) else 2].append(m.span())
+    raise_to(2, blanks[2])
+    for strength, pattern in ((3, CLAUSE), (4, SENTENCE)):
+        raise_to(strength, [m.span(1) for m in regex.finditer(pattern + r"(\s*+)", text)])
+    raise_to(5, blanks[5])
+    raise_to(6, blanks[6])
+    cut = [0, *chars.tolist()]
+    last_whole = np.maximum.accumulate(np.where(whole, np.arange(len(ids)), -1))
+    back = np.append(0, np.arange(len(ids)) - last_whole)[:-1]
+    return np.frombuffer(STRENGTHS.encode(), np.uint8)[level].tobytes().decode(), [text[a:b] for a, b in zip(cut, cut[1:])], back
+
+
+def _classify(path: str, key: str, limit: int):
+    def flush(keys, keep):
+        at, ids, cls, texts, back = zip(*keep)
+        columns = [keys.take(pa.array(at)), pa.array(ids, pa.list_(pa.int32())), pa.array(cls, pa.string()), pa.array(texts, pa.list_(pa.string())), pa.array(back, pa.list_(pa.int8()))]
+        return pa.RecordBatch.from_arrays(columns, [key, "ids", "cls", "texts", "back"])
+
     def run(batches):
         for batch in batches:
             keep: list[tuple] = []
-            for i, t in enumerate(batch.column(text).to_pylist()):
-                ids, cls, chars = _classes(t, path)
-                if len(ids) > limit:
-                    keep.append((i, t, ids, cls, chars))
-                if len(keep) >= 50 or (keep and i == batch.num_rows - 1):
-                    yield _batch(batch, key, keep)
-                    keep = []
+            held = 0
+            for i, t in enumerate(batch.column("text").to_pylist()):
+                ids = _ids(t, path)
+                if len(ids) <= limit:
+                    continue
+                keep.append((i, ids, *_classes(t, ids, path)))
+                held += len(ids)
+                if held >= BATCH_TOKENS:
+                    yield flush(batch.column(key), keep)
+                    keep, held = [], 0
             if keep:
-                yield _batch(batch, key, keep)
+                yield flush(batch.column(key), keep)
 
     return run
 
 
-def _batch(batch, key, keep):
-    at, texts, ids, cls, chars = zip(*keep)
-    return pa.RecordBatch.from_arrays(
-        [batch.column(key).take(pa.array(at)), pa.array(texts, pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(cls, pa.string()), pa.array(chars, pa.list_(pa.int32()))],
-        [key, "text", "ids", "cls", "chars"],
-    )
-
-
 def piece_pattern(room: int) -> str:
     """Takes at most `room` tokens: the rest if it fits, else up to the strongest boundary in the last half,
-    else up to any boundary from the strongest on, else up to the last end of a character."""
+    else up to the strongest boundary at all, else up to the last end of a character."""
     half = max(1, room // 2)
     tail = [f"[a-z]{{1,{room}}}$"]
     near = [f"[a-z]{{{half - 1},{room - 1}}}{s}" for s in "plskw"]
-    far = [f"[a-z]{{0,{room - 1}}}[plskwc]"]
+    far = [f"[a-z]{{0,{room - 1}}}{s}" for s in "plskwc"]
     return "|".join(tail + near + far)
 
 
@@ -96,6 +119,7 @@ def split(df: DataFrame, limit: int, overlap: int, key: str = "doc_id", text: st
     Columns: key, piece (from 0), begin_token, n_tokens, boundary (name of the strength after it; 'end'),
     ids, text. A piece has at most `limit` tokens. Each piece but the first repeats the last `overlap`
     tokens of the piece before it, up to three more where the overlap would begin inside a character.
+    Rows of one key are split each for itself; a null key is an ordinary key.
     A token has at least one byte, so texts of at most `limit` bytes are passed over unread by Python.
     """
     if overlap < 0 or limit - overlap - INSIDE < 8:
@@ -103,32 +127,32 @@ def split(df: DataFrame, limit: int, overlap: int, key: str = "doc_id", text: st
     room = limit - overlap - INSIDE
     kind = df.schema[key].dataType.simpleString()
     long = df.select(key, F.col(text).alias("text")).filter(F.octet_length("text") > limit)
-    big = long.mapInArrow(_classify(vocab or default_vocab(), key, "text", limit), f"`{key}` {kind}, text string, ids array<int>, cls string, chars array<int>")
-    big = big.withColumn("steps", F.transform(F.regexp_extract_all("cls", F.lit(piece_pattern(room)), F.lit(0)), lambda s: F.length(s)))
-    # where each piece's new tokens end, by a running sum
-    ends = F.aggregate("steps", F.array(F.lit(0)), lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1) + s)))
-    rows = big.withColumn("ends", ends).select("*", F.posexplode("steps").alias("piece", "step"))
-    fresh, end = F.element_at("ends", F.col("piece") + 1), F.element_at("ends", F.col("piece") + 2)
-    start = F.when(F.col("piece") == 0, F.lit(0)).otherwise(F.greatest(F.lit(0), fresh - overlap))
-    rows = rows.withColumn("end", end).withColumn("start", start)
-    # tokens before the start that end inside a character are drawn in
-    before = F.substring("cls", F.greatest(F.lit(1), F.col("start") - INSIDE + 1), F.least(F.lit(INSIDE), F.col("start")))
-    rows = rows.withColumn("start", F.col("start") - F.length(F.regexp_extract(before, "x*$", 0)))
-    char_at = lambda t: F.when(t == 0, F.lit(0)).otherwise(F.element_at("chars", F.when(t == 0, F.lit(1)).otherwise(t)))
-    rows = rows.withColumn("c0", char_at(F.col("start"))).withColumn("c1", char_at(F.col("end")))
-    strength = F.substring("cls", F.col("end"), F.lit(1))
-    named = F.lit(None).cast("string")
-    for sign, name in NAMES.items():
-        named = F.when(strength == sign, name).otherwise(named)
-    return rows.select(
-        key,
-        "piece",
-        F.col("start").alias("begin_token"),
-        (F.col("end") - F.col("start")).alias("n_tokens"),
-        F.when(F.col("end") == F.size("ids"), "end").otherwise(named).alias("boundary"),
-        F.slice("ids", F.col("start") + 1, F.col("end") - F.col("start")).alias("ids"),
-        F.substring("text", F.col("c0") + 1, F.col("c1") - F.col("c0")).alias("text"),
-    )
+    big = long.mapInArrow(_classify(vocab or default_vocab(), key, limit), f"`{key}` {kind}, ids array<int>, cls string, texts array<string>, back array<tinyint>")
+    big = big.withColumn("taken", F.regexp_extract_all("cls", F.lit(piece_pattern(room)), F.lit(0)))
+    # where each piece's new tokens begin, by a running sum
+    big = big.withColumn("sums", F.aggregate("taken", F.array(F.lit(0)), lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(s)))))
+
+    def cut(s, i):
+        fresh, end = F.element_at("sums", i + 1), F.element_at("sums", i + 2)
+        overlapped = F.greatest(F.lit(0), fresh - overlap)
+        # tokens before it that end inside a character are drawn in
+        begin = F.when(i == 0, F.lit(0)).otherwise(overlapped - F.element_at("back", overlapped + 1))
+        named = F.lit(None).cast("string")
+        for sign, name in NAMES.items():
+            named = F.when(F.right(s, F.lit(1)) == sign, name).otherwise(named)
+        n = end - begin
+        return F.struct(
+            i.alias("piece"),
+            begin.alias("begin_token"),
+            n.alias("n_tokens"),
+            F.when(end == F.size("ids"), "end").otherwise(named).alias("boundary"),
+            F.slice("ids", begin + 1, n).alias("ids"),
+            F.array_join(F.slice("texts", begin + 1, n), "").alias("text"),
+        )
+
+    # the pieces alone go through the explode; every text has some, and the outer form keeps the optimizer
+    # from testing that by a filter that computes all of them a second time
+    return big.select(key, F.transform("taken", cut).alias("_pieces")).select(key, F.inline_outer("_pieces"))
 
 
 def oversized(pieces: DataFrame, key: str = "doc_id") -> DataFrame:
