@@ -47,5 +47,32 @@ def test_empty_and_bad_arguments(spark):
     empty = spark.createDataFrame([], "doc_id bigint, n_tokens bigint")
     assert pack.pack(empty, 100).count() == 0
     assert pack.fill_report(pack.pack(empty, 100), 100).first()["containers"] == 0
-    with pytest.raises(ValueError):
-        pack.pack(empty, 100, attention=10.0)
+    for wrong in ({"attention": 0.0}, {"attention": -1.0}, {"max_docs": 0}):
+        with pytest.raises(ValueError):
+            pack.pack(empty, 100, **wrong)
+    assert pack.violated(pack.pack(empty, 100), 100).count() == 0
+
+
+@pytest.mark.parametrize("attention, most", [(None, 512), (5_000.0, 512), (2_500.0, 3), (1.0, 2), (1e9, 4)])
+def test_repeated_and_null_keys_under_every_constraint(spark, attention, most):
+    rng = random.Random(7)
+    rows = [(rng.choice([None, 1, 1, 1, 2, 3]), rng.choice([0, 1, 10, 49, 51, 70, 100, 200, 250, 1000])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint").repartition(3)
+    done = pack.pack(df, 100, max_docs=most, attention=attention, shard_items=100)
+    assert pack.violated(done, 100, most, attention).count() == 0
+    got = done.collect()
+    assert sum(r["size"] for r in got) == sum(n for _, n in rows)
+    for k in (None, 1, 2, 3):
+        wanted = sorted(s for i, n in rows if i == k for s in ([100] * ((n - 1) // 100) + [n - 100 * max(0, (n - 1) // 100)]))
+        assert sorted(r["size"] for r in got if r["doc_id"] == k) == wanted
+    load = {}
+    for r in got:
+        load.setdefault(r["container_id"], []).append(r["size"])
+    cost = attention or pack.ATTENTION * 1e4
+    assert max(map(sum, load.values())) <= 100 and max(map(len, load.values())) <= most
+    assert all(sum(s * s for s in b) <= cost or len(b) == 1 for b in load.values())
+    if cost <= 5_000:
+        # 70 x 70 leaves no room for 49, nor does 51 for another 51
+        assert any(sum(b) < 100 and len(b) > 1 and sum(s * s for s in b) > 0.9 * cost for b in load.values()) or cost == 1.0
+    bad = spark.createDataFrame([(5, 0, 60, 7), (6, 0, 60, 7), (7, 0, 1, 8)], "doc_id bigint, part int, size bigint, container_id bigint")
+    assert [r["container_id"] for r in pack.violated(bad, 100).collect()] == [7]

@@ -4,7 +4,8 @@ A container has three residual capacities: tokens, documents and attention cost
 lengths). Items go by decreasing size into the open container that fits under every constraint and
 scores best: smallest weighted norm of what would stay free ('norm'), or largest weighted dot product
 of item and free space ('dot'). An item larger than a container is divided into full containers and
-one rest; no other item is divided.
+one rest; no other item is divided. An item whose own attention cost exceeds the container's stands
+alone, as nothing but division could help it.
 
 Items are spread over shards by a hash, and each shard is packed on its own; a shard holds about
 `shard_items` items whatever the size of the input, so a task's memory and time are bounded, and what
@@ -19,6 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHARD_ITEMS = 20_000
+#: Parts in a container; and the sum of squared sizes in it, as a share of capacity squared: of several parts
+#: the largest is then at most sqrt(ATTENTION) of the container, and larger items stand alone.
+MAX_DOCS, ATTENTION = 512, 0.75
 #: Weights of the three dimensions in the score.
 WEIGHTS = (1.0, 0.05, 0.1)
 #: Shard numbers take the upper bits of a container id.
@@ -26,7 +30,10 @@ SHARD_BITS = 31
 
 
 def best_fit(sizes: np.ndarray, capacity: int, max_docs: int, attention: float, rule: str = "norm", weights=WEIGHTS) -> np.ndarray:
-    """The container number of each item, by vector best-fit decreasing; every size must be <= capacity."""
+    """The container number of each item, by vector best-fit decreasing; every size must be <= capacity.
+
+    attention may be smaller than a single item's cost: that item is then alone in its container.
+    """
     n = len(sizes)
     out = np.empty(n, np.int64)
     if n == 0:
@@ -37,7 +44,7 @@ def best_fit(sizes: np.ndarray, capacity: int, max_docs: int, attention: float,
     free = np.empty((1024, 3))
     number = np.empty(1024, np.int64)
     used = total = 0
-    smallest = sizes.min() / capacity
+    smallest, least_cost = sizes.min() / capacity, float(sizes.min()) ** 2 / attention
     eps = 1e-9
     for i in order:
         v = items[i]
@@ -57,7 +64,7 @@ def best_fit(sizes: np.ndarray, capacity: int, max_docs: int, attention: float,
         free[at] -= v
         out[i] = number[at]
         # a container that no further item can enter is closed
-        if free[at, 0] < smallest - eps or free[at, 1] < 1.0 / max_docs - eps:
+        if free[at, 0] < smallest - eps or free[at, 1] < 1.0 / max_docs - eps or free[at, 2] < least_cost - eps:
             used -= 1
             free[at], number[at] = free[used], number[used]
     return out
@@ -92,31 +99,31 @@ def _pack_shards(key: str, capacity: int, max_docs: int, attention: float, rule:
     return run
 
 
-def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_tokens", max_docs: int = 512, attention: float | None = None, rule: str = "norm", shard_items: int = SHARD_ITEMS, n_items: int | None = None) -> DataFrame:
+def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_tokens", max_docs: int = MAX_DOCS, attention: float | None = None, rule: str = "norm", shard_items: int = SHARD_ITEMS, n_items: int | None = None) -> DataFrame:
     """key, part, size and container_id of every part of every item.
 
     An item up to the capacity has the one part 0. A larger one has full parts, each a container of
     its own, and a last part that is packed with the others. Items of size 0 or null (counted as 0)
-    take a document's room only. attention: the largest sum of squared sizes in a container, by
-    default capacity squared, the cost of one full item; parts are always admitted to an empty one.
-    Repeated keys are packed as items of their own in one shard; null keys are an ordinary key.
+    take a document's room only. attention: the largest sum of squared sizes in a container of several
+    parts, by default ATTENTION of capacity squared; any positive number, and an item that costs more
+    is alone. Repeated and null keys are items of their own, told apart by nothing but their rows.
     n_items: the number of items if known, else they are counted.
     """
-    attention = attention or float(capacity) ** 2
-    if capacity < 1 or max_docs < 1 or attention < float(capacity) ** 2:
-        raise ValueError("capacity and max_docs must be positive, and attention must admit one full item")
+    attention = ATTENTION * float(capacity) ** 2 if attention is None else float(attention)
+    if capacity < 1 or max_docs < 1 or attention <= 0:
+        raise ValueError("capacity, max_docs and attention must be positive")
     if n_items is None:
         n_items = items.count()
     shards = max(1, round(n_items / shard_items))
-    rows = items.select(key, F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("total"))
-    last = F.greatest(F.lit(0), F.ceil(F.col("total") / capacity).cast("int") - 1)
-    rows = rows.select(key, "total", F.posexplode(F.expr(f"array_repeat(CAST({capacity} AS BIGINT), CAST(greatest(0, ceil(total / {capacity}) - 1) AS INT)) || array(total - {capacity} * greatest(0, ceil(total / {capacity}) - 1))")).alias("part", "size"))
-    rows = rows.withColumn("last", last)
-    # full parts fill a container and need no search
-    whole = rows.filter(F.col("part") < F.col("last"))
-    # the sign bit keeps containers of full parts apart from those of the shards
-    whole = whole.select(key, "part", "size", (-F.abs(F.xxhash64(key, "part")) - 1).alias("container_id"))
-    rest = rows.filter(F.col("part") == F.col("last")).select(key, "part", "size", F.pmod(F.xxhash64(key), F.lit(shards)).cast("bigint").alias("shard"))
+    rows = items.select(key, F.greatest(F.lit(0), F.coalesce(F.col(size), F.lit(0))).cast("bigint").alias("total"))
+    full = F.greatest(F.lit(0), F.ceil(F.col("total") / capacity).cast("int") - 1)
+    # of hot keys the rows are spread by size and by the partition they are read in, which a lost task doesn't change
+    shard = F.pmod(F.xxhash64(key, "total", F.spark_partition_id()), F.lit(shards)).cast("bigint")
+    rows = rows.select(key, "total", full.alias("full"), shard.alias("shard"))
+    # full parts fill a container and need no search; the sign bit keeps their containers apart from those of the shards
+    whole = rows.filter("full > 0").select(key, F.explode(F.sequence(F.lit(0), F.col("full") - 1)).alias("part"))
+    whole = whole.select(key, "part", F.lit(capacity).cast("bigint").alias("size"), (-F.monotonically_increasing_id() - 1).alias("container_id"))
+    rest = rows.select(key, F.col("full").alias("part"), (F.col("total") - F.col("full") * F.lit(capacity)).alias("size"), "shard")
     kind = items.schema[key].dataType.simpleString()
     rest = rest.repartition(shards, "shard").sortWithinPartitions("shard")
     packed = rest.mapInArrow(_pack_shards(key, capacity, max_docs, attention, rule), f"`{key}` {kind}, part int, size bigint, container_id bigint")
@@ -138,3 +145,12 @@ def fill_report(assignment: DataFrame, capacity: int) -> DataFrame:
         F.coalesce(F.max("parts"), F.lit(0)).alias("most_parts"),
         F.round(F.sum("tokens") / (F.count(F.lit(1)) * capacity), 6).alias("used_share"),
     )
+
+
+def violated(assignment: DataFrame, capacity: int, max_docs: int = MAX_DOCS, attention: float | None = None) -> DataFrame:
+    """container_id, tokens, parts and cost of the containers that break a constraint: none, if pack works."""
+    attention = ATTENTION * float(capacity) ** 2 if attention is None else float(attention)
+    cost = F.sum(F.col("size").cast("double") * F.col("size"))
+    bins = assignment.groupBy("container_id").agg(F.sum("size").alias("tokens"), F.count(F.lit(1)).alias("parts"), cost.alias("cost"))
+    many = F.col("parts") > 1
+    return bins.filter((F.col("tokens") > capacity) | (F.col("parts") > max_docs) | (many & (F.col("cost") > attention * (1 + 1e-9))))

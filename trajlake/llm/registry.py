@@ -78,6 +78,12 @@ def p7_containers(spark, folder):
     return _packed(spark, folder)[0]
 
 
+@query("p7_violated")
+def p7_violated(spark, folder):
+    """Containers that break a constraint; none."""
+    return pack.violated(*_packed(spark, folder))
+
+
 @query("p7_fill")
 def p7_fill(spark, folder):
     """How full the containers are."""
