@@ -10,37 +10,63 @@ def test_order_cap_matches_brute_force(spark):
     rng = random.Random(1)
     rows = [(i, rng.choice("abc") if rng.random() < 0.9 else None, rng.choice([0, 1, 2, None])) for i in rng.sample(range(10_000), 300)]
     df = spark.createDataFrame(rows, "id bigint, who string, tier int")
-    kept = {r["id"] for r in cap.keep_per_contributor(df, ["who"], 3, "id", F.col("tier"), draw="order").collect()}
+    kept = {r["id"] for r in cap.keep_per_contributor(df, ["who"], 3, "id", F.col("tier"), cap.sure_order(F.col("id"))).collect()}
     wanted = set()
     for w in ("a", "b", "c", None):
         wanted |= {r[0] for r in sorted((r for r in rows if r[1] == w), key=lambda r: (r[2] is None, r[2] or 0, r[0]))[:3]}
     assert kept == wanted
-    gone = cap.given_up(df, cap.keep_per_contributor(df, ["who"], 3, "id", F.col("tier"), draw="order"), "id")
+    gone = cap.given_up(df, cap.keep_per_contributor(df, ["who"], 3, "id", F.col("tier"), cap.sure_order(F.col("id"))), "id")
     assert {r["id"] for r in gone.collect()} == {r[0] for r in rows} - wanted
 
 
 def test_hot_contributor_is_cut_before_the_shuffle(spark):
     df = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("who"))
-    plan = cap.keep_per_contributor(df, ["who"], 3, "id", F.lit(0), draw="order")._jdf.queryExecution().executedPlan().toString()
+    plan = cap.keep_per_contributor(df, ["who"], 3, "id", F.lit(0), cap.sure_order(F.col("id")))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
 def test_weighted_draw_follows_the_scores(spark):
     df = spark.range(30_000).select("id", F.pmod("id", F.lit(3000)).alias("who"), F.when(F.pmod(F.floor(F.col("id") / 3000), F.lit(2)) == 0, 3.0).otherwise(1.0).alias("score"))
-    kept = cap.keep_per_contributor(df, ["who"], 1, "id", F.lit(0), F.col("score"))
+    kept = cap.keep_per_contributor(df, ["who"], 1, "id", F.lit(0), cap.log_of(F.col("score")))
     assert kept.count() == 3000
     heavy = kept.join(df.select("id", "score"), "id").filter("score = 3").count()
     assert abs(heavy / 3000 - 0.75) < 0.04
-    assert kept.collect() == cap.keep_per_contributor(df, ["who"], 1, "id", F.lit(0), F.col("score")).collect()
+    assert kept.collect() == cap.keep_per_contributor(df, ["who"], 1, "id", F.lit(0), cap.log_of(F.col("score"))).collect()
+
+
+def test_sure_order_holds_for_any_draw(spark):
+    ids = [0, 1, 2, 3, -5, 10**6, 10**6 + 1, 10**12, 10**12 + 1, 2**62, 2**62 + 1, -(2**62)]
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint").withColumn("w", F.lit(1))
+    for seed in range(20):
+        for n in (1, 4, 9):
+            assert {r["id"] for r in cap.keep_per_contributor(df, ["w"], n, "id", F.lit(0), cap.sure_order(F.col("id")), seed).collect()} == set(sorted(ids)[:n])
+    span = spark.range(200_000).select((-F.log(-F.log(cap.uniform(3, "id")))).alias("x")).agg(F.max("x") - F.min("x")).first()[0]
+    assert span < cap.SURE
+
+
+def test_weights_of_several_kept(spark):
+    """Of ten records with scores 1 to 10 three stay: shares as in drawing one after the other, by simulation."""
+    import numpy as np
+
+    df = spark.range(60_000).select("id", F.floor(F.col("id") / 10).alias("who"), (F.pmod("id", F.lit(10)) + 1).cast("double").alias("score"))
+    kept = cap.keep_per_contributor(df, ["who"], 3, "id", F.lit(0), cap.log_of(F.col("score"))).select((F.pmod("id", F.lit(10))).alias("k")).groupBy("k").count().collect()
+    got = np.zeros(10)
+    for r in kept:
+        got[r["k"]] = r["count"] / 6_000
+    rng, wanted = np.random.default_rng(1), np.zeros(10)
+    p = np.arange(1, 11) / 55
+    for _ in range(20_000):
+        wanted[rng.choice(10, 3, replace=False, p=p)] += 1 / 20_000
+    assert np.abs(got - wanted).max() < 0.03
 
 
 def test_bad_scores_come_last(spark):
     df = spark.createDataFrame([(1, None), (2, float("nan")), (3, 0.0), (4, -1.0), (5, 0.1)], "id bigint, s double")
-    assert [r["id"] for r in cap.keep_per_contributor(df.withColumn("w", F.lit(1)), ["w"], 1, "id", F.lit(0), F.col("s")).collect()] == [5]
+    assert [r["id"] for r in cap.keep_per_contributor(df.withColumn("w", F.lit(1)), ["w"], 1, "id", F.lit(0), cap.log_of(F.col("s"))).collect()] == [5]
     assert cap.keep_per_contributor(df.filter("false").withColumn("w", F.lit(1)), ["w"], 1, "id", F.lit(0)).count() == 0
     assert cap.share_cap(df, ["w"], 0.4) == 2
     with pytest.raises(ValueError):
-        cap.keep_per_contributor(df, ["id"], 1, "id", F.lit(0), draw="odd")
+        cap.keep_per_contributor(df, ["id"], -1, "id", F.lit(0))
 
 
 def test_planned_rows(spark):

@@ -121,22 +121,23 @@ def _capped(spark, folder, draw):
     order = table(spark, folder, "tier_order").groupBy(keys.tier_key(F.col("quality_tier")).alias("tier")).agg(F.min("tier_rank").alias("tier_rank"))
     rows = rows.join(F.broadcast(order), "tier", "left")
     tier = F.coalesce("tier_rank", F.lit(1_000_000))
-    if draw == "order":
-        return rows, cap.keep_per_contributor(rows, ["task", "family"], CAP, "record_id", tier, draw="order")
+    # by tier, then by the smaller record_id: scores too far apart for the draw to change their order
+    if draw == "sure":
+        return rows, cap.keep_per_contributor(rows, ["task", "family"], CAP, "record_id", tier, cap.sure_order(F.col("record_id")))
     # a draw over all tiers: each tier weighs half of the tier before it
-    return rows, cap.keep_per_contributor(rows, ["task", "family"], CAP, "record_id", F.lit(0), F.pow(F.lit(0.5), F.least(tier, F.lit(20))))
+    return rows, cap.keep_per_contributor(rows, ["task", "family"], CAP, "record_id", F.lit(0), F.least(tier, F.lit(20)) * F.log(F.lit(0.5)))
 
 
 @query("p4_found", P4_SQL + f"SELECT record_id FROM ranked WHERE n > {CAP}")
 def p4_found(spark, folder):
     """Planned records to give up."""
-    return cap.given_up(*_capped(spark, folder, "order"), "record_id")
+    return cap.given_up(*_capped(spark, folder, "sure"), "record_id")
 
 
 @query("p4_plan", P4_SQL + f"SELECT task, family, record_id FROM planned WHERE record_id IN (SELECT record_id FROM ranked WHERE n <= {CAP})")
 def p4_plan(spark, folder):
     """The capped plan: records that stay, with their contributor."""
-    return _capped(spark, folder, "order")[1]
+    return _capped(spark, folder, "sure")[1]
 
 
 @query("p4_sample")
