@@ -122,3 +122,26 @@ def test_conflicts_and_new_splits(spark):
     with pytest.raises(ValueError):
         regroup.assign(df.select(F.col("id").alias("component"), F.col("kind").alias("stratum"), F.lit(1).alias("n")), {})
     assert regroup.new_splits(df.filter("false"), parts.filter("false"), shares, "id", F.col("kind")).count() == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_joins_equal_plain_ones(spark, how):
+    from trajlake.llm.lookup import join_hot
+
+    rng = random.Random(8)
+    rows = spark.createDataFrame([(rng.choice([None, 1, 1, 1, 2, *range(3, 2000)]) if i % 3 else 1, i) for i in range(4000)], "k bigint, i bigint")
+    table = spark.createDataFrame([(k, k * 10) for k in range(0, 2000, 2)] + [(1, 10), (None, 5)], "k bigint, v bigint")
+    plain = sorted(map(tuple, rows.join(table, "k", how).collect()), key=repr)
+    assert sorted(map(tuple, join_hot(rows, table, "k", how, plain=0).collect()), key=repr) == plain
+    assert join_hot(rows.filter("false"), table, "k", how, plain=-1).count() == 0
+
+
+def test_components_with_hot_entities(spark, monkeypatch):
+    from trajlake.llm import lookup
+
+    monkeypatch.setattr(lookup, "PLAIN", 0)
+    monkeypatch.setattr(lookup.join_hot, "__defaults__", ("inner", 0))
+    rng = random.Random(9)
+    edges = [(i, "hot" if i % 3 == 0 else f"e{rng.randint(0, 400)}") for i in range(900)]
+    got = {r["r"]: r["component"] for r in regroup.components(spark.createDataFrame(edges, "r bigint, e string"), "r", "e").collect()}
+    assert got == brute_components(edges)

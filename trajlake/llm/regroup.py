@@ -4,8 +4,9 @@ Records and entities (tasks, authors, sources) form a bipartite graph. Minimum l
 edges until none changes; the label of a record is then its group. Groups go to splits so that both
 the proportions and the distribution of a label (here family and type) come near the target.
 
-A round costs two pre-aggregated shuffles of the edges; an entity with a third of all records is
-reduced map-side to a minimum, never gathered. Rounds are written to the shared folder.
+A round costs two pre-aggregated shuffles of the edges. Aggregations reduce a hot entity map-side to a
+minimum, and joins look hot keys up by a broadcast (lookup.join_hot), so an entity or a component with a
+third of all records is never gathered. Rounds are written to the shared folder.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ from pyspark.sql import functions as F
 
 from trajlake.session import work_table
 
+from .lookup import join_hot
+
 #: Groups up to this share of all records are assigned by cell, larger ones one by one; so at most 1 / BIG are.
-BIG = 1 / 2_000
+BIG = 1 / 1_000
 #: Cells per stratum for the groups that aren't big.
 CELLS = 64
 #: Strata (values of the label) that are told apart; the rest share one.
-STRATA = 256
+STRATA = 32
 
 
 def components(edges: DataFrame, record: str, entity: str, max_rounds: int = 200) -> DataFrame:
@@ -32,15 +35,16 @@ def components(edges: DataFrame, record: str, entity: str, max_rounds: int = 200
     """
     edges = edges.select(F.col(record).alias("r"), F.col(entity).alias("e")).filter(F.col("r").isNotNull())
     edges = work_table(edges.distinct(), "edges")
-    linked = edges.filter(F.col("e").isNotNull())
+    linked = work_table(edges.filter(F.col("e").isNotNull()), "linked")
     labels = edges.select("r", F.col("r").alias("label")).distinct()
     for _ in range(max_rounds):
-        least = linked.join(labels, "r").groupBy("e").agg(F.min("label").alias("label"))
-        back = linked.join(least, "e").groupBy("r").agg(F.min("label").alias("new"))
+        least = join_hot(linked, labels, "r").groupBy("e").agg(F.min("label").alias("label"))
+        back = join_hot(linked, least, "e").groupBy("r").agg(F.min("label").alias("new"))
         step = labels.join(back, "r", "left").select("r", F.col("label").alias("old"), F.least("label", F.coalesce("new", "label")).alias("label"))
         # pointer jump: a label's own label may be smaller already
+        step = work_table(step, "steps")
         own = step.select(F.col("r").alias("label"), F.col("label").alias("further"))
-        step = step.join(own, "label", "left").select("r", "old", F.least("label", F.coalesce("further", "label")).alias("label"))
+        step = join_hot(step, own, "label", "left").select("r", "old", F.least("label", F.coalesce("further", "label")).alias("label"))
         step = work_table(step, "labels")
         changed = step.filter(F.col("label") < F.col("old")).limit(1).count()
         labels = step.select("r", "label")
@@ -54,8 +58,8 @@ def assign(groups: DataFrame, shares: dict[str, float], seed: int = 17) -> DataF
 
     Splits get records near their shares, in all and in each stratum. A component is assigned whole.
     Components above BIG of all records are placed one by one, the others by cells of about equal size,
-    within the stratum that holds most of their records. Only the cells come to the driver: at most
-    1 / BIG + CELLS x (STRATA + 1) rows.
+    within the stratum that holds most of their records. Only the counts of the cells by stratum come to
+    the driver: of 1 / BIG + CELLS x (STRATA + 1) cells and STRATA + 1 strata, 102,696 at most.
     """
     total = sum(shares.values())
     if not shares or total <= 0 or min(shares.values()) < 0:
@@ -103,13 +107,13 @@ def assign(groups: DataFrame, shares: dict[str, float], seed: int = 17) -> DataF
 def conflicting(records: DataFrame, components_: DataFrame, record: str, split: str) -> DataFrame:
     """Records with a split whose component has records in more than one split; null splits don't count."""
     known = records.filter(F.col(split).isNotNull()).select(record, split)
-    known = known.join(components_, record)
+    known = work_table(known.join(components_, record), "known")
     mixed = known.groupBy("component").agg(F.min(split).alias("lo"), F.max(split).alias("hi")).filter(F.col("lo") < F.col("hi")).select("component")
-    return known.join(mixed, "component", "left_semi").select(record)
+    return join_hot(known, mixed, "component").select(record)
 
 
 def new_splits(records: DataFrame, components_: DataFrame, shares: dict[str, float], record: str, stratum: Column) -> DataFrame:
     """record and new_split of every record."""
     rows = work_table(records.select(record, stratum.alias("stratum")).join(components_, record), "grouped")
     chosen = assign(rows.groupBy("component", "stratum").agg(F.count(F.lit(1)).alias("n")), shares)
-    return rows.join(chosen, "component").select(record, "new_split")
+    return join_hot(rows, chosen, "component").select(record, "new_split")
