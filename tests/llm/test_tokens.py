@@ -63,22 +63,19 @@ def test_empty_table_and_clashing_columns(spark):
     assert pieces.split(empty, 100, 10).count() == 0
 
 
-def test_group_counts_are_exact(spark, monkeypatch):
+def test_counts_are_exact(spark):
     rng = random.Random(4)
-    rows = [(rng.randint(0, 3), t) for t in ODD + ODD + [random_text(rng, 200) for _ in range(30)]]
+    rows = [(i, t) for i, t in enumerate(ODD + ODD + [random_text(rng, 200) for _ in range(30)])]
     df = spark.createDataFrame(rows, "g bigint, t string")
-    wanted = {}
-    for g, t in rows:
-        if t:
-            wanted[g] = wanted.get(g, 0) + len(brute(t))
-    assert {r["g"]: r["tokens"] for r in budget.count_by_group(df, "g", "t").collect()} == wanted
+    assert {r["g"]: r["tokens"] for r in budget.with_tokens(df, "t").collect()} == {g: len(brute(t)) if t else 0 for g, t in rows}
 
 
 def test_document_budget(spark):
     rows = [(1, "two words", "en-US", "SANDBOX-1", " kb"), (2, None, "eng", "sandbox_1", "KB"), (3, "中文", None, None, None)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, domain string")
+    df = spark.createDataFrame(rows + rows[:1] * 3, "doc_id bigint, text string, lang string, source string, domain string")
     got = {(r["source"], r["lang"], r["domain"]): (r["documents"], r["characters"], r["tokens"]) for r in budget.document_budget(df).collect()}
     assert got == {("sandbox_1", "en", "kb"): (2, 9, len(brute("two words"))), ("unknown", "und", "unknown"): (1, 2, len(brute("中文")))}
+    assert budget.document_budget(df.filter("false")).count() == 0
 
 
 CATALOG = "record_id bigint, source_family string, source_file string, type string, characters bigint, input_tokens bigint, supervised_tokens bigint, cataloged_at timestamp_ntz"

@@ -1,9 +1,9 @@
 """Token budgets (problem 3).
 
-count_by_group splits texts into pre-tokens and runs the merges once for each distinct pre-token of a
-task (bpe.symbol_count); the surviving symbols, weighted by how often the pre-token occurs, add up to
-exact totals. Only one sum for each task and group is shuffled: neither texts nor pre-tokens are, so a
-frequent pre-token or a group of a third of all rows costs no more than others.
+Texts are split into pre-tokens, and the merges run once for each distinct pre-token of a task
+(bpe.symbol_count); the surviving symbols, weighted by how often the pre-token occurs, are the exact
+count. Texts are counted where they are read: only numbers are shuffled, neither texts nor pre-tokens,
+so a frequent pre-token or a group of a third of all rows costs no more than others.
 """
 
 from __future__ import annotations
@@ -15,63 +15,60 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajlake.functions import keys
+from trajlake.session import work_table
 
 from .bpe import symbol_count
 from .encode import CHUNK_CHARS
+from .lookup import small
 from .vocab import default_vocab, ranks, safe_parts, splitter
 
-#: Groups a task adds up before it sends them on.
-FLUSH = 200_000
 #: Distinct pre-tokens whose counts a task remembers before it starts anew.
 MEMO = 500_000
 
 
-def _count(path: str):
-    def flush(totals):
-        return pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], ["grp", "tokens"])
-
+def _count(path: str, text: str):
     def run(batches):
         table, find = ranks(path), splitter().findall
         memo: dict[str, int] = {}
-        totals: Counter = Counter()
+
+        def tokens(t):
+            total = 0
+            for part in safe_parts(t, CHUNK_CHARS):
+                pieces = find(part)
+                try:
+                    # each occurrence adds the count of its piece: the counts weighted by frequency
+                    total += sum(map(memo.__getitem__, pieces))
+                except KeyError:
+                    if len(memo) > MEMO:
+                        memo.clear()
+                    for piece, n in Counter(pieces).items():
+                        if (size := memo.get(piece)) is None:
+                            size = memo[piece] = symbol_count(piece.encode(), table)
+                        total += size * n
+            return total
+
         for batch in batches:
-            for g, t in zip(batch.column("grp").to_pylist(), batch.column("txt").to_pylist()):
-                for part in safe_parts(t, CHUNK_CHARS):
-                    pieces = find(part)
-                    try:
-                        # each occurrence adds the count of its piece: the counts weighted by frequency
-                        totals[g] += sum(map(memo.__getitem__, pieces))
-                    except KeyError:
-                        if len(memo) > MEMO:
-                            memo.clear()
-                        for piece, n in Counter(pieces).items():
-                            if (size := memo.get(piece)) is None:
-                                size = memo[piece] = symbol_count(piece.encode(), table)
-                            totals[g] += size * n
-            if len(totals) >= FLUSH:
-                yield flush(totals)
-                totals.clear()
-        if totals:
-            yield flush(totals)
+            counts = pa.array([tokens(t) if t else 0 for t in batch.column(text).to_pylist()], pa.int64())
+            at = batch.schema.get_field_index(text)
+            yield batch.remove_column(at).append_column("tokens", counts)
 
     return run
 
 
-def count_by_group(df: DataFrame, group: str, text: str, vocab: str | None = None) -> DataFrame:
-    """group (BIGINT) and tokens: the exact number of tokens of all texts of the group.
-
-    Null and empty texts count 0 and give no row of their own; a group without any text has no row.
-    """
-    some = df.filter(F.length(text) > 0).select(F.col(group).alias("grp"), F.col(text).alias("txt"))
-    sums = some.mapInArrow(_count(vocab or default_vocab()), "grp bigint, tokens bigint")
-    return sums.groupBy(F.col("grp").alias(group)).agg(F.sum("tokens").alias("tokens"))
+def with_tokens(df: DataFrame, text: str, vocab: str | None = None) -> DataFrame:
+    """df without the text, but with tokens, its exact number of tokens; 0 for null and empty texts."""
+    rest = [c for c in df.columns if c != text]
+    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in rest), "tokens bigint"])
+    return df.select(*rest, text).mapInArrow(_count(vocab or default_vocab(), text), schema)
 
 
 def document_budget(documents: DataFrame, vocab: str | None = None) -> DataFrame:
     """Per source, lang and domain (canonical spellings; unknown for null): documents, characters, tokens.
 
-    Each doc_id counts once. Null and empty texts count as documents of no token. Groups are told by a
-    64-bit hash while pieces are counted, and named again by a join on the far smaller group table.
+    Each doc_id counts once, a null one as any other; should its rows differ, with the largest of their
+    numbers and the first of their groups by hash. Null and empty texts count as documents of no token.
+    Groups are told by a 64-bit hash in the rows that are shuffled, and named again by a join on the far
+    smaller group table.
     """
     docs = documents.select(
         "doc_id",
@@ -80,9 +77,11 @@ def document_budget(documents: DataFrame, vocab: str | None = None) -> DataFrame
         keys.lang_key(F.col("lang")).alias("lang"),
         keys.label_key(F.col("domain")).alias("domain"),
     ).withColumn("grp", F.xxhash64("source", "lang", "domain"))
-    totals = docs.groupBy("grp", "source", "lang", "domain").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.coalesce(F.length("text"), F.lit(0))).cast("bigint").alias("characters"))
-    tokens = count_by_group(docs, "grp", "text", vocab)
-    return totals.join(tokens, "grp", "left").select("source", "lang", "domain", "documents", "characters", F.coalesce("tokens", F.lit(0)).alias("tokens"))
+    rows = with_tokens(docs.select("doc_id", "grp", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("characters"), "text"), "text", vocab)
+    once = rows.groupBy("doc_id").agg(F.min("grp").alias("grp"), F.max("characters").alias("characters"), F.max("tokens").alias("tokens"))
+    totals = once.groupBy("grp").agg(F.count(F.lit(1)).alias("documents"), F.sum("characters").alias("characters"), F.sum("tokens").alias("tokens"))
+    names = docs.select("grp", "source", "lang", "domain").distinct()
+    return totals.join(names, "grp").select("source", "lang", "domain", "documents", "characters", "tokens")
 
 
 def unusable(characters: Column, input_tokens: Column, supervised_tokens: Column) -> Column:
@@ -103,6 +102,7 @@ def record_budget(catalog: DataFrame, trajectories: DataFrame, vocab: str | None
     used; 'counted' where the record's own text (content and reasoning, as in `characters`) was counted
     with the vocabulary instead; 'ratio' where the text is missing too: characters at the family and
     type's ratio of tokens to characters, or the ratio of all records.
+    Of several deliveries of the text the last one counts (of equally late ones the longest, in tokens).
     The supervised tokens of a replaced count take the share of the usable records of its family and type.
     """
     latest = F.max_by(
@@ -119,11 +119,13 @@ def record_budget(catalog: DataFrame, trajectories: DataFrame, vocab: str | None
         "supervised_tokens",
         unusable(F.col("characters"), F.col("input_tokens"), F.col("supervised_tokens")).alias("unusable"),
     )
-    bad = once.filter("unusable").select("record_id")
+    once = work_table(once, "catalog")
+    bad = work_table(once.filter("unusable").select("record_id"), "unusable")
     parts = F.flatten(F.transform("messages", lambda m: F.array(m["content"], m["reasoning_content"])))
-    texts = trajectories.select("record_id", F.array_join(parts, "\n").alias("text"), "ingested_at")
-    texts = bad.join(texts, "record_id").groupBy("record_id").agg(F.max_by("text", F.struct("ingested_at", "text")).alias("text"))
-    counted = count_by_group(texts, "record_id", "text", vocab).withColumnRenamed("tokens", "counted")
+    # every delivery is counted where it is read, and the last one's number is taken
+    texts = trajectories.join(small(bad), "record_id", "left_semi").select("record_id", "ingested_at", F.array_join(parts, "\n").alias("text"))
+    deliveries = with_tokens(texts, "text", vocab)
+    counted = deliveries.groupBy("record_id").agg(F.max(F.struct("ingested_at", "tokens"))["tokens"].alias("counted"))
 
     usable = ~F.col("unusable") & F.col("supervised_tokens").isNotNull() & F.col("characters").isNotNull()
     summed = lambda c: F.sum(F.when(usable, F.col(c)))
