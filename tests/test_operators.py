@@ -229,3 +229,83 @@ def test_sets_histograms_duplicates(spark):
     assert (hist["x"]["records"], hist["x"]["record_share"], hist["x"]["weight_share"]) == (2, 0.666667, 0.666667)
     dist = stats.distribution(df.withColumn("z", F.lit(None).cast("int")), ["n", "z"]).collect()
     assert {r["field"]: (r["records_nonzero"], r["total"], r["p50"]) for r in dist} == {"n": (3, 6.0, 2.0), "z": (0, 0.0, None)}
+
+
+def talk(*messages):
+    """Messages as the conversion takes them: (role, content, reasoning, call id, tool_calls)."""
+    return [dict(zip(("role", "content", "reasoning_content", "tool_call_id", "tool_calls"), (*m, None, None, None)[:5])) for m in messages]
+
+
+def one_call(function, id_="c"):
+    return json.dumps([{"id": id_, "type": "function", "function": function}])
+
+
+GOOD = {"name": "bash", "arguments": {"command": "ls"}}
+ASKED, HEARD = ("assistant", "a", None, None, one_call(GOOD)), ("tool", "out", None, "c")
+CONVERSIONS = [
+    (talk(("user", "q"), ASKED, HEARD, ("assistant", "b")), None),
+    (talk(("user", None)), convert.CONTENT),
+    (talk(("critic", "x")), convert.ROLE),
+    (talk(("assistant", "a", None, None, '{"id": "c", "function": {"name": "bash"}}')), convert.CALL_LIST),
+    (talk(("assistant", "a", None, None, '"bash"')), convert.CALL_LIST),
+    (talk(("assistant", "a", None, None, "5")), convert.CALL_LIST),
+    (talk(("assistant", "a", None, None, "[{")), convert.CALL_LIST),
+    (talk(("assistant", "a", None, None, '["bash"]')), convert.CALL_FUNCTION),
+    (talk(("assistant", "a", None, None, one_call("bash"))), convert.CALL_FUNCTION),
+    (talk(("assistant", "a", None, None, one_call(None))), convert.CALL_FUNCTION),
+    (talk(("assistant", "a", None, None, '[{"id": "c"}]')), convert.CALL_FUNCTION),
+    (talk(("assistant", "a", None, None, one_call({"name": 5, "arguments": {}}))), convert.CALL_NAME),
+    (talk(("assistant", "a", None, None, one_call({"name": "", "arguments": {}}))), convert.CALL_NAME),
+    (talk(("assistant", "a", None, None, one_call({"arguments": {}}))), convert.CALL_NAME),
+    (talk(("assistant", "a", None, None, one_call({"name": "bash", "arguments": '{"command'}))), convert.ARGUMENTS_JSON),
+    (talk(("assistant", "a", None, None, one_call({"name": "bash", "arguments": ""}))), convert.ARGUMENTS_JSON),
+    (talk(("assistant", "a", None, None, one_call({"name": "bash", "arguments": '{"command": "ls"} and more'}))), convert.ARGUMENTS_JSON),
+    (talk(("assistant", "a", None, None, one_call({"name": "bash", "arguments": "[1]"}))), convert.ARGUMENTS_OBJECT),
+    (talk(("assistant", "a", None, None, one_call({"name": "bash", "arguments": None}))), convert.ARGUMENTS_OBJECT),
+    (talk(("assistant", "a", None, None, one_call({"name": "bash", "arguments": 7}))), convert.ARGUMENTS_OBJECT),
+    (talk(ASKED, HEARD, ASKED), convert.TWICE_CALLED),
+    (talk(HEARD), convert.UNKNOWN),
+    (talk(ASKED, ("tool", "out")), convert.UNKNOWN),
+    (talk(("assistant", "a", None, None, one_call(GOOD, 5)), ("tool", "out", None, "5")), convert.UNKNOWN),
+    (talk(ASKED, HEARD, HEARD), convert.TWICE_ANSWERED),
+    (talk(ASKED), convert.UNANSWERED),
+    (talk(("user", "q"), ("assistant", "  ")), convert.NOTHING),
+    ([], convert.NOTHING),
+    # nothing given, whatever its type; a call without arguments or with an id that is no string
+    (talk(*(("assistant", "a", None, None, nothing) for nothing in (None, "null", "[]", "{}", '""', "0", "false", ""))), None),
+    (talk(("assistant", "", None, None, one_call({"name": "bash"}, None))), None),
+    # the first error in reading order counts
+    (talk(("assistant", "a", None, None, one_call("x")), ("user", None)), convert.CALL_FUNCTION),
+    (talk(ASKED, ("user", None)), convert.CONTENT),
+]
+
+
+def test_every_conversion_error(spark):
+    kind = "id int, messages array<struct<role:string,content:string,reasoning_content:string,tool_call_id:string,tool_calls:string>>"
+    df = spark.createDataFrame([(i, m) for i, (m, _) in enumerate(CONVERSIONS)], kind)
+    got = {r["id"]: r["error"] for r in convert.convert(df).collect()}
+    assert got == {i: e for i, (_, e) in enumerate(CONVERSIONS)}
+    named = [convert.CONTENT, convert.ROLE, convert.CALL_LIST, convert.CALL_FUNCTION, convert.CALL_NAME, convert.ARGUMENTS_JSON, convert.ARGUMENTS_OBJECT, convert.TWICE_CALLED, convert.UNKNOWN, convert.TWICE_ANSWERED, convert.UNANSWERED, convert.NOTHING]
+    assert set(named) == set(got.values()) - {None}
+
+
+def test_reasoning_of_a_wrong_type(spark):
+    from trajlake.sources import jsonl
+
+    rows = [({"messages": [{"role": "assistant", "content": "a", "reasoning_content": r}]},) for r in ("why", None, "", 0, [], 5, ["x"], {"a": 1}, True)]
+    df = spark.createDataFrame([("f", i, json.dumps(r[0])) for i, r in enumerate(rows)], "file string, line bigint, value string")
+    got = {r["line"]: r["error"] for r in convert.convert(jsonl.conversations(jsonl.parsed(df))).collect()}
+    assert got == {i: None if i < 5 else convert.CONTENT for i in range(9)}
+
+
+def test_fingerprint_has_six_fields(spark):
+    from trajlake.operators import review
+
+    kind = "v string, type string, instruction string, gold_answer string, expected_tables array<string>, citation struct<doc_id:string>, source_documents array<string>, verification_criteria struct<must_query_tables:array<string>>"
+    base = ("v", "kb", "i", '{"text": "x", "value": 1}', ["t"], ("d",), ["s"], (["q"],))
+    other = [("w", *base[1:]), (*base[:3], '{"value":1,"text":"x"}', *base[4:]), (*base[:7], (["else"],))]
+    unlike = [(*base[:i], x, *base[i + 1 :]) for i, x in ((1, "sql"), (2, "j"), (3, "x"), (4, ["t", "u"]), (5, (None,)), (6, None), (1, None))]
+    got = [r[0] for r in spark.createDataFrame([base, *other, *unlike], kind).select(review.manifest_fingerprint()).collect()]
+    assert len(set(got[:4])) == 1 and len(set(got)) == 1 + len(unlike)
+    types = spark.createDataFrame([("kb", "sql"), (None, "kb"), ("", "kb"), ("unknown", "kb"), (None, None)], "a string, b string")
+    assert [r[0] for r in types.select(review.task_type(types.a, types.b)).collect()] == ["kb", "kb", "kb", "kb", ""]

@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CALL_SCHEMA = "array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>"
+#: What tool_calls() gives for each call.
+CALLS = "array<struct<message:int,call:int,id:string,name:string,arguments:string,has_function:boolean,has_name:boolean,null_arguments:boolean>>"
+# JSON texts that stand for nothing given, whatever the type that is wanted.
+NOTHING = ("null", "false", "0", "0.0", "[]", "{}", '""')
 
 # What counts as a failed response, a destructive or a networking command, a path that
 # holds on one machine only, and a secret.
@@ -24,6 +27,7 @@ SECRETS = (
     r"\bhf_[A-Za-z0-9]{20,}\b",
     r"\bgh[pousr]_[A-Za-z0-9]{20,}\b",
 )
+# Fixed value: the names of the four tools.
 TOOLS = ("bash", "read", "write", "edit")
 
 
@@ -35,25 +39,71 @@ def of_role(messages: Column, role: str) -> Column:
     return F.filter(messages, lambda m: m["role"] == role)
 
 
+def json_value(c: Column) -> Column:
+    """The one JSON value of a text as VARIANT; null for text that isn't JSON, or is more than one value.
+
+    Values above the size limit of VARIANT, and objects that name a key twice, are null, too.
+    """
+    # a single value stands alone in an array as well; text after it would not
+    alone = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    return F.when(F.size(F.try_variant_get(alone, "$", "array<variant>")) == 1, F.try_variant_get(alone, "$[0]", "variant"))
+
+
+def is_nothing(v: Column) -> Column:
+    """Whether a VARIANT is missing, null, false, zero or empty."""
+    return v.isNull() | F.coalesce(F.to_json(v).isin(*NOTHING), F.lit(False))
+
+
+def variant_text(v: Column, path: str) -> Column:
+    """The member if it is a string, else null."""
+    member = F.try_variant_get(v, path, "variant")
+    return F.when(F.schema_of_variant(member) == "STRING", F.try_variant_get(v, path, "string"))
+
+
+def no_call_list(m: Column) -> Column:
+    """Whether an assistant's tool_calls are given, but no JSON array."""
+    v = F.try_parse_json(m["tool_calls"])
+    given = m["tool_calls"].isNotNull() & (F.trim(m["tool_calls"]) != "") & (v.isNull() | ~is_nothing(v))
+    return (m["role"] == "assistant") & given & ~F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+
+
 def tool_calls(messages: Column) -> Column:
-    """All calls of the assistant messages in order: message, call (positions), id, name, arguments (as text).
+    """All calls of the assistant messages in order: message, call (positions), id, name, arguments (as text),
+    has_function (an object), has_name (a string that isn't empty), null_arguments (given as null).
 
-    A tool_calls text that is no JSON array gives no call; null names and arguments stay null.
+    tool_calls that are no JSON array give no call; an element without a function object is a call of no
+    name and arguments. Ids that are no strings are null, names that are no strings their JSON text.
+    Arguments that are no string are JSON text with sorted keys; missing and null ones are null.
     """
 
     def of(m, i):
-        parsed = F.when(m["role"] == "assistant", F.from_json(m["tool_calls"], CALL_SCHEMA))
-        return F.transform(
-            F.coalesce(parsed, F.array().cast(CALL_SCHEMA)),
-            lambda c, j: F.struct(i.alias("message"), j.alias("call"), c["id"].alias("id"), c["function"]["name"].alias("name"), c["function"]["arguments"].alias("arguments")),
-        )
+        parsed = F.when(m["role"] == "assistant", F.try_variant_get(F.try_parse_json(m["tool_calls"]), "$", "array<variant>"))
+
+        def one(c, j):
+            function = F.try_variant_get(c, "$.function", "variant")
+            name = F.try_variant_get(function, "$.name", "variant")
+            arguments = F.try_variant_get(function, "$.arguments", "variant")
+            is_null = F.coalesce(F.is_variant_null(arguments), F.lit(False))
+            has_function = F.coalesce(F.schema_of_variant(function).startswith("OBJECT"), F.lit(False))
+            return F.struct(
+                i.alias("message"),
+                j.alias("call"),
+                variant_text(c, "$.id").alias("id"),
+                F.try_variant_get(function, "$.name", "string").alias("name"),
+                F.when(~is_null, F.coalesce(variant_text(function, "$.arguments"), F.to_json(arguments))).alias("arguments"),
+                has_function.alias("has_function"),
+                F.coalesce((F.schema_of_variant(name) == "STRING") & (F.try_variant_get(function, "$.name", "string") != ""), F.lit(False)).alias("has_name"),
+                is_null.alias("null_arguments"),
+            )
+
+        return F.transform(F.coalesce(parsed, F.array().cast("array<variant>")), one)
 
     return F.flatten(F.transform(messages, of))
 
 
 def canonical_json(c: Column) -> Column:
     """JSON text with keys sorted and blanks dropped; text that isn't JSON stays as it is."""
-    return F.coalesce(F.to_json(F.try_parse_json(c)), c)
+    return F.coalesce(F.to_json(json_value(c)), c)
 
 
 def signatures(calls: Column) -> Column:
@@ -119,6 +169,7 @@ def recorded_calls(calls: Column) -> Column:
 
 # --- canonical use of the four tools -------------------------------------------------------------
 
+# The arguments that each tool may have, and those that it must have.
 ALLOWED = {"bash": ("command", "timeout"), "read": ("path", "offset", "limit"), "write": ("path", "content"), "edit": ("path", "edits", "oldText", "newText")}
 REQUIRED = {"bash": ("command",), "read": ("path",), "write": ("path", "content"), "edit": ("path",)}
 
@@ -144,7 +195,7 @@ def _whole_from(v: Column, name: str, least: int) -> Column:
 
 def call_problem(name: Column, arguments: Column) -> Column:
     """Why a call isn't canonical, null if it is; arguments as JSON text."""
-    v = F.try_parse_json(arguments)
+    v = json_value(arguments)
     keys = F.coalesce(F.json_object_keys(F.to_json(v)), F.array().cast("array<string>"))
     is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     of = lambda table: F.coalesce(*(F.when(name == t, F.array(*map(F.lit, table[t]))) for t in TOOLS))

@@ -27,10 +27,6 @@ def _error(message: Column, call: Column, order: int, condition: Column, name: s
     return F.when(F.coalesce(condition, F.lit(False)), where)
 
 
-def _parsed(m: Column) -> Column:
-    return F.when(m["role"] == "assistant", F.from_json(m["tool_calls"], C.CALL_SCHEMA))
-
-
 def _said(m: Column) -> Column:
     """An assistant's content, trimmed, with its reasoning in front."""
     thought = C.stripped(C.text(m["reasoning_content"]))
@@ -40,17 +36,17 @@ def _said(m: Column) -> Column:
 
 def _call_text(c: Column) -> Column:
     """{"name":..., "arguments":...} without blanks; keys of the arguments are sorted."""
-    arguments = F.coalesce(F.try_parse_json(c["function"]["arguments"]), F.parse_json(F.lit("{}")))
-    return F.to_json(F.struct(c["function"]["name"].alias("name"), arguments.alias("arguments")))
+    arguments = F.coalesce(C.json_value(c["arguments"]), F.parse_json(F.lit("{}")))
+    return F.to_json(F.struct(c["name"].alias("name"), arguments.alias("arguments")))
 
 
 def _line(role: Column | str, content: Column, loss: bool | None) -> Column:
     return F.struct((F.lit(role) if isinstance(role, str) else role).alias("role"), content.alias("content"), F.lit(loss).cast("boolean").alias("loss"))
 
 
-def _converted(m: Column) -> Column:
+def _converted(m: Column, i: Column, calls: Column) -> Column:
     spoken = F.filter(F.array(_line("assistant", _said(m), True)), lambda x: x["content"] != "")
-    called = F.transform(F.coalesce(_parsed(m), F.array().cast(C.CALL_SCHEMA)), lambda c: _line("tool_call", _call_text(c), True))
+    called = F.transform(F.filter(calls, lambda c: c["message"] == i), lambda c: _line("tool_call", _call_text(c), True))
     return (
         F.when(m["role"].isin("system", "user"), F.array(_line(m["role"], m["content"], None)))
         .when(m["role"] == "assistant", F.concat(spoken, called))
@@ -59,26 +55,30 @@ def _converted(m: Column) -> Column:
     )
 
 
-def _errors(messages: Column, calls: Column) -> Column:
+def _errors(messages: Column, calls: Column, reasoning_type: bool) -> Column:
     """All error candidates; each is right if nothing before it failed."""
     none = F.lit(-1)
 
     def of_message(m, i):
-        bare = m["tool_calls"].isNotNull() & (F.trim(m["tool_calls"]) != "null")
+        wrong_reasoning = F.lit(False)
+        if reasoning_type:
+            wrong_reasoning = (m["role"] == "assistant") & ~F.coalesce(m["reasoning_type"].isin("string", "null", "missing"), F.lit(True))
         return F.array(
             _error(i, none, 0, m["content"].isNull(), CONTENT),
             _error(i, none, 1, ~F.coalesce(m["role"].isin("system", "user", "assistant", "tool"), F.lit(False)), ROLE),
-            _error(i, none, 2, (m["role"] == "assistant") & bare & _parsed(m).isNull(), CALL_LIST),
+            _error(i, none, 2, wrong_reasoning, CONTENT),
+            _error(i, none, 3, C.no_call_list(m), CALL_LIST),
         )
 
     def of_call(c, k):
-        arguments = F.try_parse_json(c["arguments"])
+        arguments = C.json_value(c["arguments"])
         earlier = F.slice(calls, F.lit(1), k)
         return F.array(
-            _error(c["message"], c["call"], 3, C.text(c["name"]) == "", CALL_NAME),
-            _error(c["message"], c["call"], 4, c["arguments"].isNotNull() & arguments.isNull(), ARGUMENTS_JSON),
-            _error(c["message"], c["call"], 5, ~F.schema_of_variant(arguments).startswith("OBJECT"), ARGUMENTS_OBJECT),
-            _error(c["message"], c["call"], 6, c["id"].isNotNull() & F.exists(earlier, lambda e: e["id"] == c["id"]), TWICE_CALLED),
+            _error(c["message"], c["call"], 4, ~c["has_function"], CALL_FUNCTION),
+            _error(c["message"], c["call"], 5, ~c["has_name"], CALL_NAME),
+            _error(c["message"], c["call"], 6, c["arguments"].isNotNull() & arguments.isNull(), ARGUMENTS_JSON),
+            _error(c["message"], c["call"], 7, c["null_arguments"] | ~F.schema_of_variant(arguments).startswith("OBJECT"), ARGUMENTS_OBJECT),
+            _error(c["message"], c["call"], 8, c["id"].isNotNull() & F.exists(earlier, lambda e: e["id"] == c["id"]), TWICE_CALLED),
         )
 
     numbered = F.transform(messages, lambda m, i: F.struct(i.alias("at"), m["role"].alias("role"), m["tool_call_id"].alias("id")))
@@ -88,16 +88,16 @@ def _errors(messages: Column, calls: Column) -> Column:
         known = F.exists(calls, lambda c: (c["id"] == r["id"]) & (c["message"] < r["at"]))
         before = F.slice(responses, F.lit(1), k)
         return F.array(
-            _error(r["at"], none, 7, ~F.coalesce(known, F.lit(False)), UNKNOWN),
-            _error(r["at"], none, 8, F.exists(before, lambda b: b["id"] == r["id"]), TWICE_ANSWERED),
+            _error(r["at"], none, 9, ~F.coalesce(known, F.lit(False)), UNKNOWN),
+            _error(r["at"], none, 10, F.exists(before, lambda b: b["id"] == r["id"]), TWICE_ANSWERED),
         )
 
     ids = F.transform(F.filter(calls, lambda c: c["id"].isNotNull()), lambda c: c["id"])
     answered = F.transform(responses, lambda r: r["id"])
     spoke = F.exists(messages, lambda m: (m["role"] == "assistant") & (_said(m) != ""))
     at_end = F.array(
-        _error(F.lit(END), none, 9, F.size(F.array_except(ids, answered)) > 0, UNANSWERED),
-        _error(F.lit(END), none, 10, ~F.coalesce(spoke, F.lit(False)) & (F.size(calls) == 0), NOTHING),
+        _error(F.lit(END), none, 11, F.size(F.array_except(ids, answered)) > 0, UNANSWERED),
+        _error(F.lit(END), none, 12, ~F.coalesce(spoke, F.lit(False)) & (F.size(calls) == 0), NOTHING),
     )
     return F.array_compact(F.concat(F.flatten(F.transform(messages, of_message)), F.flatten(F.transform(calls, of_call)), F.flatten(F.transform(responses, of_response)), at_end))
 
@@ -105,13 +105,15 @@ def _errors(messages: Column, calls: Column) -> Column:
 def convert(records: DataFrame) -> DataFrame:
     """records with error (null if none), converted and conversion, its statistics (both null on error).
 
-    Null messages convert like no messages: 'no trainable assistant output'. A tool_calls element that
-    isn't an object counts as one without a function, whose name is missing.
+    Null messages convert like no messages: 'no trainable assistant output'. Where messages tell their
+    reasoning_type, reasoning that is no string is an error like content that is none; tool_calls and
+    reasoning that are null, false, zero or empty count as not given. Keys of arguments are sorted.
     """
-    messages = F.coalesce(F.col("messages"), F.array().cast(records.schema["messages"].dataType))
+    kind = records.schema["messages"].dataType
+    messages, reasoning_type = F.coalesce(F.col("messages"), F.array().cast(kind)), "reasoning_type" in kind.elementType.names
     rows = records.withColumn("messages", messages).withColumn("calls", C.tool_calls(F.col("messages")))
-    rows = rows.withColumn("error", F.array_min(_errors(F.col("messages"), F.col("calls")))["error"])
-    lines = F.flatten(F.transform(F.col("messages"), _converted))
+    rows = rows.withColumn("error", F.array_min(_errors(F.col("messages"), F.col("calls"), reasoning_type))["error"])
+    lines = F.flatten(F.transform(F.col("messages"), lambda m, i: _converted(m, i, F.col("calls"))))
     rows = rows.withColumn("converted", F.when(F.col("error").isNull(), lines))
     count = lambda test: F.size(F.filter("converted", test))
     thinking = F.size(F.filter(C.of_role(F.col("messages"), "assistant"), lambda m: C.stripped(C.text(m["reasoning_content"])) != ""))

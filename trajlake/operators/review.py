@@ -34,23 +34,40 @@ def expected(single: Column | None, many: list[Column]) -> Column:
     return F.array_distinct(F.filter(F.concat(*parts), lambda x: F.coalesce(x != "", F.lit(False))))
 
 
-def manifest_fingerprint(fields: list[str]) -> Column:
-    """One JSON text of the fields, keys sorted; equal contents have equal text."""
-    return F.to_json(F.parse_json(F.to_json(F.struct(*sorted(fields)), {"ignoreNullFields": "false"})))
+# The fields in which the rows of one task must agree.
+FINGERPRINTED = ("citation", "expected_tables", "gold_answer", "instruction", "source_documents", "type")
+
+
+def manifest_fingerprint() -> Column:
+    """One text of FINGERPRINTED, equal for equal contents; gold_answer counts as JSON if it is, whatever its spelling."""
+    others = F.struct(*(c for c in FINGERPRINTED if c != "gold_answer"))
+    gold = F.coalesce(C.json_value(F.col("gold_answer")), F.to_variant_object(F.array("gold_answer")))
+    return F.concat_ws("\1", F.to_json(others, {"ignoreNullFields": "false"}), F.to_json(gold))
+
+
+def task_type(planned: Column, manifest: Column) -> Column:
+    """The plan's type, else the manifest's, else empty; empty and 'unknown' count as none."""
+    given = lambda c: F.when(~c.isin("", "unknown"), c)
+    return F.coalesce(given(planned), given(manifest), F.lit(""))
 
 
 def with_evidence(rows: DataFrame) -> DataFrame:
-    """rows with answer and the struct evidence, plus documents, tables, tables_accessed.
+    """rows with answer and the struct evidence, plus tables_accessed; without messages.
 
-    rows: messages and the manifest's gold, instruction, documents (array) and tables (array). A table
-    counts as accessed if its lower-case name stands in the calls.
+    rows: messages, conflict, present and the manifest's gold, instruction, documents (array) and tables
+    (array). A table counts as accessed if its lower-case name stands in the calls. Where the manifest is
+    in conflict or missing there is nothing to hold the record against: evidence and tables_accessed are null.
     """
     m = F.col("messages")
-    rows = rows.withColumn("calls", C.tool_calls(m))
-    rows = rows.withColumns({"answer": C.final_answer(m), "responses": C.recorded_responses(m), "called": C.recorded_calls(F.col("calls"))})
-    rows = rows.withColumn("evidence", evidence(F.col("answer"), F.col("responses"), F.col("called"), F.col("gold"), F.col("instruction"), F.col("documents")))
+    judged = F.col("present") & ~F.col("conflict")
+    rows = rows.withColumn("answer", C.final_answer(m))
+    open_ = rows.filter(judged).withColumn("calls", C.tool_calls(m))
+    open_ = open_.withColumns({"responses": C.recorded_responses(m), "called": C.recorded_calls(F.col("calls"))}).drop("messages", "calls")
+    open_ = open_.withColumn("evidence", evidence(F.col("answer"), F.col("responses"), F.col("called"), F.col("gold"), F.col("instruction"), F.col("documents")))
     lower = F.lower("called")
-    return rows.withColumn("tables_accessed", F.size(F.filter("tables", lambda t: lower.contains(F.lower(t))))).drop("calls", "responses", "called")
+    open_ = open_.withColumn("tables_accessed", F.size(F.filter("tables", lambda t: lower.contains(F.lower(t))))).drop("responses", "called")
+    settled = rows.filter(~judged).drop("messages").withColumns({"evidence": F.lit(None).cast(open_.schema["evidence"].dataType), "tables_accessed": F.lit(None).cast("int")})
+    return open_.unionByName(settled)
 
 
 def decide(rules: list[tuple[Column, str, str, str]], otherwise: tuple[str, str, str]) -> Column:
@@ -60,7 +77,7 @@ def decide(rules: list[tuple[Column, str, str, str]], otherwise: tuple[str, str,
 
 
 def evidence_rules() -> tuple[list[tuple[Column, str, str, str]], tuple[str, str, str]]:
-    """The rules of evidence review, for decide(); columns as with_evidence gives them, and conflict, present, quality_tier, type, answer_type."""
+    """The rules of evidence review (thresholds and names are fixed values), for decide(); columns as with_evidence gives them, and conflict, present, quality_tier, type, answer_type."""
     e = lambda n: F.col(f"evidence.{n}")
     share = lambda part, whole: part / F.greatest(F.lit(1), F.size(whole))
     kb = F.col("type") == "kb"

@@ -167,14 +167,14 @@ def rejudge(spark: SparkSession, plan: str, data_dir: str, manifests_dir: str, o
     """Evidence decisions for the plan rows of a phase."""
     rows = ingest.require_unique(rows_of(spark, plan, PLAN).filter(F.col("phase") == phase), PLACE)
     m = manifest_rows(spark, manifests_dir).withColumnsRenamed({"v": "version"})
-    m = m.withColumn("fingerprint", review.manifest_fingerprint(["citation", "expected_tables", "gold_answer", "instruction", "source_documents", "type", "verification_criteria"]))
+    m = m.withColumn("fingerprint", review.manifest_fingerprint())
     m = ingest.first_of_key(m, ["version", "task_id"], "fingerprint", ["file", "line"])
     gold, kind = review.gold_answer(F.col("gold_answer"))
-    m = m.select("version", "task_id", "conflict", F.lit(True).alias("present"), gold.alias("gold"), kind.alias("answer_type"), "instruction", review.expected(F.col("citation.doc_id"), [F.col("source_documents")]).alias("documents"), review.expected(None, [F.col("expected_tables"), F.col("verification_criteria.must_query_tables")]).alias("tables"))
+    m = m.select("version", "task_id", "conflict", F.lit(True).alias("present"), gold.alias("gold"), kind.alias("answer_type"), "instruction", F.col("type").alias("m_type"), review.expected(F.col("citation.doc_id"), [F.col("source_documents")]).alias("documents"), review.expected(None, [F.col("expected_tables"), F.col("verification_criteria.must_query_tables")]).alias("tables"))
     found = rows.join(records(spark, data_dir).select(*PLACE, "messages"), PLACE)
     ingest.require_complete(rows, found, PLACE)
     none = F.array().cast("array<string>")
-    found = found.join(m, ["version", "task_id"], "left").withColumns({"conflict": F.coalesce("conflict", F.lit(False)), "present": F.coalesce("present", F.lit(False)), "documents": F.coalesce("documents", none), "tables": F.coalesce("tables", none)})
+    found = found.join(m, ["version", "task_id"], "left").withColumns({"conflict": F.coalesce("conflict", F.lit(False)), "present": F.coalesce("present", F.lit(False)), "documents": F.coalesce("documents", none), "tables": F.coalesce("tables", none), "type": review.task_type(F.col("type"), F.col("m_type"))})
     decided = review.with_evidence(found).withColumn("d", review.decide(*review.evidence_rules()))
     out = decided.select(*PLACE, "source_family", "version", "task_id", "type", "phase", "split", "input_tokens", "quality_tier", "d.*", "evidence")
     sinks.write_jsonl(out, output, PLACE, expected=rows.count())

@@ -16,8 +16,6 @@ from .catalog_queries import catalog, settled_verdicts
 from .message_queries import TR
 from .registry import query
 
-MANIFEST_FIELDS = ["citation", "expected_tables", "gold_answer", "instruction", "source_documents", "type", "verification_criteria"]
-
 
 def manifest(spark, folder):
     rows = table(spark, folder, "task_manifest").withColumnRenamed("v", "version")
@@ -26,13 +24,11 @@ def manifest(spark, folder):
 
 def settled_manifest(spark, folder):
     """One row a version and task, with conflict: whether rows of unlike contents exist."""
-    rows = manifest(spark, folder)
-    gold = F.coalesce(F.try_parse_json("gold_answer"), F.to_variant_object(F.array("gold_answer")))
-    rows = rows.withColumn("fingerprint", F.concat_ws("\1", review.manifest_fingerprint([f for f in MANIFEST_FIELDS if f != "gold_answer"]), F.to_json(gold)))
+    rows = manifest(spark, folder).withColumn("fingerprint", review.manifest_fingerprint())
     return ingest.first_of_key(rows, ["version", "task_id"], "fingerprint", ["fingerprint"])
 
 
-MANIFEST = f"""mf AS (SELECT v AS version, {keys.task_sql('task_id')} AS task_id, * EXCLUDE (v, task_id), concat_ws(chr(1), citation::VARCHAR, expected_tables::VARCHAR, gold_answer, coalesce(instruction, chr(2)), source_documents::VARCHAR, coalesce(type, chr(2)), verification_criteria::VARCHAR) AS fp FROM task_manifest)"""
+MANIFEST = f"""mf AS (SELECT v AS version, {keys.task_sql('task_id')} AS task_id, * EXCLUDE (v, task_id), concat_ws(chr(1), citation::VARCHAR, expected_tables::VARCHAR, gold_answer, coalesce(instruction, chr(2)), source_documents::VARCHAR, coalesce(type, chr(2))) AS fp FROM task_manifest)"""
 
 
 @query("manifest_conflicts", f"WITH {MANIFEST} SELECT version, task_id, min(fp) <> max(fp) AS conflict FROM mf GROUP BY ALL")
@@ -148,6 +144,7 @@ def evidence_rows(spark, folder):
         F.lit(True).alias("present"),
         gold.alias("gold"),
         answer_type.alias("answer_type"),
+        F.lower("type").alias("m_type"),
         F.coalesce("instruction", F.lit("")).alias("instruction"),
         review.expected(F.col("citation.doc_id"), [F.col("source_documents")]).alias("documents"),
         F.array_distinct(F.transform(review.expected(None, [F.col("expected_tables"), F.col("verification_criteria.must_query_tables")]), lambda t: F.lower(t))).alias("tables"),
@@ -157,7 +154,7 @@ def evidence_rows(spark, folder):
     rows = rows.join(m, ["version", "task_id"], "left").join(messages, "record_id")
     empty = F.array().cast("array<string>")
     fill = {c: F.coalesce(c, d) for c, d in (("conflict", F.lit(False)), ("present", F.lit(False)), ("gold", F.lit("")), ("answer_type", F.lit("")), ("documents", empty), ("tables", empty))}
-    return rows.withColumns(fill)
+    return rows.withColumns(fill).withColumn("type", review.task_type(F.col("type"), F.col("m_type"))).drop("m_type")
 
 
 @query("evidence_decisions")

@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trajlake.functions.calls import is_nothing, variant_text
 from trajlake.functions.labels import variant_type
 
 VERSION = r"_(\d{8}_v\d+)_openai\.jsonl$"
-#: A message as the operators expect it; content_type tells content of a wrong type from null.
-MESSAGES = "array<struct<role:string,content:string,reasoning_content:string,tool_call_id:string,tool_calls:string,content_type:string>>"
+#: A message as the operators expect it; content_type and reasoning_type tell values of a wrong type from null.
+MESSAGES = "array<struct<role:string,content:string,reasoning_content:string,tool_call_id:string,tool_calls:string,content_type:string,reasoning_type:string>>"
 
 
 def read_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl", blank: bool = False) -> DataFrame:
@@ -69,38 +70,34 @@ def require_objects(rows: DataFrame) -> DataFrame:
     return rows
 
 
-def _text(v: Column, path: str) -> Column:
-    """The member if it is a string, else null."""
-    return F.when(F.schema_of_variant(F.try_variant_get(v, path, "variant")) == "STRING", F.try_variant_get(v, path, "string"))
-
-
 def conversations(rows: DataFrame) -> DataFrame:
     """file, line, id, task_id, source, tools (JSON text), tools_type and messages of parsed rows.
 
-    A value of a wrong type is null, with content_type telling which it was; tool_calls are JSON text
+    A value of a wrong type is null, with content_type and reasoning_type telling which it was; tool_calls are JSON text
     with sorted keys; missing messages are an empty array.
     """
     doc = F.col("doc")
     messages = F.coalesce(F.try_variant_get(doc, "$.messages", "array<variant>"), F.array().cast("array<variant>"))
 
     def message(m):
-        calls = F.try_variant_get(m, "$.tool_calls", "variant")
+        calls, thought = F.try_variant_get(m, "$.tool_calls", "variant"), F.try_variant_get(m, "$.reasoning_content", "variant")
         return F.struct(
-            _text(m, "$.role").alias("role"),
-            _text(m, "$.content").alias("content"),
-            _text(m, "$.reasoning_content").alias("reasoning_content"),
-            _text(m, "$.tool_call_id").alias("tool_call_id"),
+            variant_text(m, "$.role").alias("role"),
+            variant_text(m, "$.content").alias("content"),
+            variant_text(m, "$.reasoning_content").alias("reasoning_content"),
+            variant_text(m, "$.tool_call_id").alias("tool_call_id"),
             F.to_json(calls).alias("tool_calls"),
             variant_type(F.try_variant_get(m, "$.content", "variant")).alias("content_type"),
+            F.when(is_nothing(thought), "null").otherwise(variant_type(thought)).alias("reasoning_type"),
         )
 
     tools = F.try_variant_get(doc, "$.tools", "variant")
     return rows.filter("status = 'object'").select(
         "file",
         "line",
-        _text(doc, "$.id").alias("id"),
-        _text(doc, "$.task_id").alias("task_id"),
-        _text(doc, "$._source").alias("source"),
+        variant_text(doc, "$.id").alias("id"),
+        variant_text(doc, "$.task_id").alias("task_id"),
+        variant_text(doc, "$._source").alias("source"),
         F.to_json(tools).alias("tools"),
         variant_type(tools).alias("tools_type"),
         F.transform(messages, message).alias("messages"),
