@@ -128,12 +128,14 @@ def answer(messages):
 
 
 @needs_tables
-def test_numbers_and_evidence(spark, talks):
-    assert {r["record_id"]: r["numbers"] for r in query(spark, "answer_numbers")} == {k: len(text.numbers_in(answer(m))) for k, m in talks.items()}
+def test_evidence(spark, talks):
     for r in query(spark, "evidence_decisions"):
         heard = "\n".join(m["content"] or "" for m in talks[r["record_id"]] if m["role"] == "tool")
         known = "".join(c for c in unicodedata.normalize("NFKC", heard).lower() if c.isalnum())
         claims = [c for c in (text.folded(x) for x in text.CLAIM_END.split(text.ITEM_PREFIX.sub("", answer(talks[r["record_id"]])))) if len(c) >= 8]
+        if r["reason"] in ("manifest_conflict", "manifest_missing"):
+            assert r["support"] is None and r["status"] == "manual_review"
+            continue
         if claims and all(c in known for c in claims):
             assert r["support"] == 1.0
         if not known:

@@ -158,3 +158,19 @@ def test_bigram_coverage_matches_python(spark):
 def test_udfs_take_nulls(spark):
     df = spark.createDataFrame([(None,), ("ｘ 1,000 ",)], "t string")
     assert [tuple(r) for r in df.select(text.nfkc(F.col("t")), text.numbers(F.col("t"))).collect()] == [(None, []), ("x 1,000", ["1000"])]
+
+
+def test_numbers_by_example():
+    """Fixed by the rules: item numbers and identifiers are no numbers, separators and plus signs fall away."""
+    cases = {
+        "1. first 2 items\n2) second": ["2"],
+        "doc_038 and a12 x-3": ["2", "3", "38"],
+        "时限为48小时，+5% 和 1,234.50": ["1234.5", "48", "5%"],
+        "１２ and -0.50": ["-0.5", "12"],
+        "no number": [],
+        "1,2345 7e3": ["1234", "5", "7"],
+        "12345678901234567": ["1.23456789012e+16"],
+    }
+    for given, wanted in cases.items():
+        assert sorted(text.numbers_in(given)) == sorted(wanted), given
+    assert text.numbers_in(None) == set()

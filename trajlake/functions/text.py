@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import Column
@@ -59,8 +60,10 @@ def support(answer: str, evidence: str) -> float:
     claims = [c for c in map(folded, CLAIM_END.split(ITEM_PREFIX.sub("", answer))) if len(c) >= LEAST_CLAIM]
     if not claims:
         return coverage(folded(answer), known, pairs)
+    # in whole millionths, so that the order of the claims can't change the last digit
     size = sum(map(len, claims))
-    return round(sum(coverage(c, known, pairs) * len(c) for c in claims) / size, 6)
+    millionths = sum(round(coverage(c, known, pairs) * 1e6) * len(c) for c in claims)
+    return round(Fraction(millionths, size)) / 1e6
 
 
 @F.pandas_udf(T.StringType())

@@ -9,7 +9,7 @@ from trajlake.functions.labels import cases
 from trajlake.operators import audit, convert
 from trajlake.sources.tables import table
 
-from .registry import query
+from .registry import query, sql
 
 TR = "tr AS (SELECT DISTINCT ON (record_id) * FROM trajectories ORDER BY record_id, ingested_at NULLS LAST)"
 MSG = f"{TR}, msg AS (SELECT record_id, unnest(messages) AS m, generate_subscripts(messages, 1) AS i FROM tr)"
@@ -100,7 +100,7 @@ def safety_audit(spark, folder):
 
 @query("call_signatures")
 def call_signatures(spark, folder):
-    """Calls, repeated and directly repeated calls of each record; tested against brute force."""
+    """Calls, repeated and directly repeated calls of each record."""
     signs = C.signatures(F.col("calls"))
     rows = audit.with_calls(records(spark, folder)).select("record_id", signs.alias("s"))
     return rows.select("record_id", F.size("s").alias("calls"), C.repeats(F.col("s")).alias("duplicates"), C.adjacent_repeats(F.col("s")).alias("consecutive"))
@@ -123,7 +123,7 @@ def argument_keys(spark, folder):
 
 @query("canonical_tools")
 def canonical_tools(spark, folder):
-    """Records by the first problem of their calls; tested against brute force."""
+    """Records by the first problem of their calls."""
     rows = audit.with_calls(records(spark, folder))
     return rows.groupBy(C.tools_status(F.col("calls")).alias("status")).agg(F.count(F.lit(1)).alias("records"))
 
@@ -142,8 +142,10 @@ def round_trips(spark, folder):
 
 @query("converted_messages")
 def converted_messages(spark, folder):
-    """Error and statistics of the conversion of each record; tested against brute force."""
-    return convert.convert(records(spark, folder)).select("record_id", "error", "conversion.*")
+    """Error of each record's conversion, or its statistics and a digest of all texts but those of calls."""
+    rows = convert.convert(records(spark, folder))
+    said = F.transform(F.filter("converted", lambda x: x["role"] != "tool_call"), lambda x: F.concat(x["role"], F.lit("\1"), x["content"]))
+    return rows.select("record_id", "error", "conversion.*", F.md5(F.array_join(said, "\2")).alias("said_md5"))
 
 
 @query("conversion_errors")
@@ -160,3 +162,12 @@ def long_responses(spark, folder):
     rows = audit.exploded_messages(records(spark, folder), "record_id").filter("role = 'tool' AND content IS NOT NULL")
     n = F.length("content")
     return rows.groupBy(cases([(n > 4096, "over_4096"), (n > 512, "513-4096")], F.lit("0-512")).alias("bucket")).agg(F.count(F.lit(1)).alias("responses"), F.count_distinct("record_id").alias("records"))
+
+
+# the rules as SQL need the message tables above
+from . import rules_sql as R  # noqa: E402
+
+sql("call_signatures", f"WITH {R.SIGNED} SELECT record_id, count(s) AS calls, count(s) - count(DISTINCT s) AS duplicates, count(*) FILTER (s = before) AS consecutive FROM tr LEFT JOIN followed USING (record_id) GROUP BY ALL")
+sql("canonical_tools", f"WITH {R.CALL_ROWS}, {R.TOOL_STATUS} SELECT status, count(*) AS records FROM tool_status GROUP BY ALL")
+sql("converted_messages", f"WITH {R.CONVERTED} SELECT * FROM converted")
+sql("conversion_errors", f"WITH {R.CONVERTED} SELECT coalesce(error, 'none') AS error, count(*) AS records, coalesce(sum(output_messages), 0)::BIGINT AS messages FROM converted GROUP BY ALL")

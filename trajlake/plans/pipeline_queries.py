@@ -13,6 +13,7 @@ from trajlake.sources.jsonl import file_version
 from trajlake.sources.tables import table
 
 from .catalog_queries import catalog, settled_verdicts
+from . import rules_sql as R
 from .message_queries import TR
 from .registry import query
 
@@ -127,9 +128,18 @@ def candidate_status(spark, folder):
     return rows.select("record_id", "source_file", first_of(gates, "candidate").alias("status"))
 
 
-@query("candidate_funnel")
+@query(
+    "candidate_funnel",
+    f"""WITH {R.CONVERTED}, {R.TOOL_STATUS}, {IDENTITY[len(TR) + 2:]},
+settled AS (SELECT v, {keys.task_sql('task_id')} AS task, min(verdict) AS verdict FROM verdicts GROUP BY ALL HAVING min(coalesce(verdict, chr(1))) = max(coalesce(verdict, chr(1)))),
+gates AS (SELECT rec2.record_id, tr.source_file, coalesce(t1, t2, t3) AS task, verdict, error, tr.messages[-1].role AS last_role, tool_status.status AS tools
+  FROM rec2 JOIN tr USING (record_id) JOIN res USING (record_id) JOIN converted USING (record_id) JOIN tool_status USING (record_id) LEFT JOIN settled ON settled.v = rec2.version AND settled.task = coalesce(t1, t2, t3)),
+s AS (SELECT source_file, CASE WHEN task IS NULL THEN 'unaligned' WHEN verdict IS NULL THEN 'without_verdict' WHEN verdict <> 'correct' THEN 'not_correct' WHEN error IS NOT NULL THEN 'conversion_error'
+  WHEN last_role IS DISTINCT FROM 'assistant' THEN 'not_ended_by_assistant' WHEN tools = 'no_tool_calls' THEN 'without_tool_call' WHEN tools <> 'canonical' THEN 'noncanonical_tools' ELSE 'candidate' END AS status FROM gates)
+SELECT source_file, status, count(*) AS records FROM s GROUP BY GROUPING SETS ((source_file, status), (status))""",
+)
 def candidate_funnel(spark, folder):
-    """Records by file and status, with a row for all files; its gates are tested one by one."""
+    """Records by file and status, with a row for all files."""
     return candidate_status(spark, folder).groupingSets([["source_file", "status"], ["status"]], "source_file", "status").agg(F.count(F.lit(1)).alias("records"))
 
 
@@ -157,38 +167,39 @@ def evidence_rows(spark, folder):
     return rows.withColumns(fill).withColumn("type", review.task_type(F.col("type"), F.col("m_type"))).drop("m_type")
 
 
-@query("evidence_decisions")
+@query(
+    "evidence_decisions",
+    f"WITH {R.evidence(MANIFEST)} SELECT record_id, status, reason, confidence, support, gold_overlap, gold_numbers, gold_numbers_match, unsupported_numbers, documents_accessed, tables_accessed FROM decided",
+)
 def evidence_decisions(spark, folder):
-    """Status, reason and evidence of every catalogued record; rules and scores are tested on small cases."""
+    """Status, reason and evidence of every catalogued record that has a trajectory."""
     rows = review.with_evidence(evidence_rows(spark, folder))
     return rows.select("record_id", review.decide(*review.evidence_rules()).alias("d"), "evidence", "tables_accessed").select("record_id", "d.*", "evidence.*", "tables_accessed")
 
 
 @query(
     "gold_coverage",
-    f"""WITH {TR}, {MANIFEST}, g AS (SELECT version, task_id, min(gold_answer ->> '$') AS gold FROM mf WHERE gold_answer IS NOT NULL AND json_type(gold_answer) = 'VARCHAR' GROUP BY ALL),
-k AS (SELECT DISTINCT record_id, version, {keys.task_sql('task_id')} AS task_id FROM token_catalog),
-a AS (SELECT record_id, lower(regexp_replace(coalesce(list_filter(list_transform(list_filter(messages, lambda m: m.role = 'assistant'), lambda m: trim(coalesce(m.content, ''), chr(9) || chr(10) || chr(13) || ' ' || chr(12288))), lambda t: t <> '')[-1], ''), '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS b FROM tr),
-x AS (SELECT record_id, lower(regexp_replace(gold, '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS a, b FROM k JOIN g USING (version, task_id) JOIN a USING (record_id)),
-y AS (SELECT *, list_distinct(list_transform(range(1, greatest(1, length(a) - 1) + 1), lambda i: substr(a, i, 2))) AS ga, list_distinct(list_transform(range(1, greatest(1, length(b) - 1) + 1), lambda i: substr(b, i, 2))) AS gb FROM x)
-SELECT record_id, CASE WHEN a = '' OR b = '' THEN 0.0::DOUBLE WHEN contains(b, a) THEN 1.0::DOUBLE ELSE round_even(len(list_intersect(ga, gb))::DOUBLE / len(ga), 6) END AS coverage FROM y""",
+    f"""WITH {R.evidence(MANIFEST)}, g AS (SELECT record_id, 1 AS n, CASE WHEN conflict THEN '' ELSE {R.folded('gold')} END AS claim, {R.folded('answer')} AS evidence FROM base),
+{R.coverage('found', 'g')} SELECT record_id, coverage FROM found""",
 )
 def gold_coverage(spark, folder):
-    text = F.when(F.schema_of_variant(F.try_parse_json("gold_answer")) == "STRING", F.try_variant_get(F.try_parse_json("gold_answer"), "$", "string"))
-    gold = manifest(spark, folder).groupBy("version", "task_id").agg(F.min(text).alias("gold")).filter("gold IS NOT NULL")
-    rows = catalog(spark, folder).select("record_id", "version", "task_id").join(gold, ["version", "task_id"])
-    answers = audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "messages", "ingested_at")).select("record_id", C.final_answer(F.col("messages")).alias("answer"))
-    return rows.join(answers, "record_id").select("record_id", bigram_coverage(F.col("gold"), F.col("answer")).alias("coverage"))
+    """How far each record's answer covers its gold answer; 0 without one, or where its manifest rows disagree."""
+    rows = evidence_rows(spark, folder).select("record_id", F.when(~F.col("conflict"), F.col("gold")).alias("gold"), C.final_answer(F.col("messages")).alias("answer"))
+    return rows.select("record_id", bigram_coverage(nfkc(F.col("gold")), nfkc(F.col("answer"))).alias("coverage"))
 
 
-@query("answer_numbers")
+@query("answer_numbers", f"WITH {TR}, {R.ANSWERS} SELECT record_id, {R.numbers('answer')} AS numbers FROM answers")
 def answer_numbers(spark, folder):
-    """How many distinct numbers each final answer holds; tested against brute force."""
+    """The distinct numbers of each final answer, sorted."""
     answers = audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "messages", "ingested_at")).select("record_id", C.final_answer(F.col("messages")).alias("answer"))
-    return answers.select("record_id", F.size(numbers(F.col("answer"))).alias("numbers"))
+    return answers.select("record_id", numbers(F.col("answer")).alias("numbers"))
 
 
-@query("decision_samples")
+@query(
+    "decision_samples",
+    f"""WITH {R.evidence(MANIFEST)}, r AS (SELECT *, replace(answer, chr(0), '') AS clean, row_number() OVER (PARTITION BY reason ORDER BY record_id) AS nth FROM decided)
+SELECT record_id, CASE WHEN length(clean) > 200 THEN left(clean, 200) || '…' ELSE clean END AS answer, status, reason FROM r WHERE nth <= 2""",
+)
 def decision_samples(spark, folder):
     """Two records of each reason, with the answer cut to 200 characters."""
     rows = review.with_evidence(evidence_rows(spark, folder)).select("record_id", "answer", review.decide(*review.evidence_rules()).alias("d")).select("record_id", "answer", "d.status", "d.reason")

@@ -20,3 +20,9 @@ def query(name: str, sql: str | None = None):
         return f
 
     return keep
+
+
+def sql(name: str, text: str) -> None:
+    """Give a registered query its SQL."""
+    assert name in QUERIES
+    ORACLES[name] = text
