@@ -185,7 +185,8 @@ def evidence_decisions(spark, folder):
 def gold_coverage(spark, folder):
     """How far each record's answer covers its gold answer; 0 without one, or where its manifest rows disagree."""
     rows = evidence_rows(spark, folder).select("record_id", F.when(~F.col("conflict"), F.col("gold")).alias("gold"), C.final_answer(F.col("messages")).alias("answer"))
-    return rows.select("record_id", bigram_coverage(nfkc(F.col("gold")), nfkc(F.col("answer"))).alias("coverage"))
+    rows = rows.select("record_id", nfkc(F.col("gold")).alias("gold"), nfkc(F.col("answer")).alias("answer"))
+    return rows.select("record_id", bigram_coverage(F.col("gold"), F.col("answer")).alias("coverage"))
 
 
 @query("answer_numbers", f"WITH {TR}, {R.ANSWERS} SELECT record_id, {R.numbers('answer')} AS numbers FROM answers")
