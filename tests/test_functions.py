@@ -46,7 +46,7 @@ def test_other_keys(spark):
 
 
 def test_buckets(spark):
-    wanted = {0: "0-2048", 2048: "0-2048", 2049: "2049-4096", 262144: "131073-262144", 262145: ">262144"}
+    wanted = {0: "1-2048", 2048: "1-2048", 2049: "2049-4096", 262144: "131073-262144", 262145: ">262144"}
     assert {k: one(spark, labels.token_bucket, k, "bigint") for k in wanted} == wanted
     assert one(spark, labels.token_bucket, None, "bigint") is None
     wanted = {0.0: "0%-<5%", 0.05: "5%-<10%", 0.1: "10%-<20%", 0.2: "20%-<40%", 0.4: ">=40%"}

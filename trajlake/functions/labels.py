@@ -36,9 +36,9 @@ def evidence_tier(agent_sql_ok: Column, is_report: Column, type_: Column) -> Col
 
 
 def token_bucket(tokens: Column) -> Column:
-    """Upper-inclusive bucket as 'low-high'; the last one is open. Null tokens: null."""
+    """Upper-inclusive bucket as 'low-high'; the first one takes all that is smaller, the last one is open. Null tokens: null."""
     lows = (0, *TOKEN_BOUNDS)
-    named = [(tokens <= high, f"{low + 1}-{high}" if low else f"0-{high}") for low, high in zip(lows, TOKEN_BOUNDS)]
+    named = [(tokens <= high, f"{low + 1}-{high}") for low, high in zip(lows, TOKEN_BOUNDS)]
     return cases([(tokens.isNull(), F.lit(None).cast("string")), *named], F.lit(f">{TOKEN_BOUNDS[-1]}"))
 
 

@@ -133,21 +133,40 @@ def closed_round_trips(converted: DataFrame) -> DataFrame:
     return converted.filter((F.col("conversion.tool_calls") > 0) & (F.col("conversion.tool_calls") == F.col("conversion.tool_responses")))
 
 
+# What the tool contract says of each tool and of its parameters.
+TOOL_TEXTS = {
+    "bash": "Execute a shell command in the current sandbox workspace.",
+    "read": "Read text from a file in the sandbox workspace.",
+    "write": "Create or overwrite a text file in the sandbox workspace.",
+    "edit": "Edit a text file using either an edits array or one oldText/newText replacement.",
+}
+PARAMETERS = {
+    "bash": {"command": ("string", "Shell command to execute."), "timeout": ("integer", "Optional timeout in seconds.", 1)},
+    "read": {"path": ("string", "File path to read."), "offset": ("integer", "Optional zero-based line offset.", 0), "limit": ("integer", "Optional maximum number of lines to return.", 1)},
+    "write": {"path": ("string", "File path to write."), "content": ("string", "Complete file content.")},
+    "edit": {"path": ("string", "File path to edit."), "edits": ("array",), "oldText": ("string",), "newText": ("string",)},
+}
+
+
 def tool_schema() -> str:
     """The JSON text that tells the four canonical tools; a constant of every training row."""
     import json
 
-    kinds = {"timeout": ("integer", 1), "offset": ("integer", 0), "limit": ("integer", 1), "edits": ("array", None)}
+    def shape(properties, required, **more):
+        return {"type": "object", "properties": properties, "required": required} | more | {"additionalProperties": False}
+
+    pair = {"oldText": {"type": "string"}, "newText": {"type": "string"}}
 
-    def parameter(name):
-        kind, least = kinds.get(name, ("string", None))
-        return {"type": kind} | ({} if least is None else {"minimum": least})
+    def parameter(kind, text=None, least=None):
+        extra = {"items": shape(pair, list(pair))} if kind == "array" else {}
+        return {"type": kind} | ({} if text is None else {"description": text}) | ({} if least is None else {"minimum": least}) | extra
 
-    tools = [
-        {"type": "function", "function": {"name": t, "parameters": {"type": "object", "properties": {k: parameter(k) for k in C.ALLOWED[t]}, "required": list(C.REQUIRED[t]), "additionalProperties": False}}}
-        for t in C.TOOLS
-    ]
-    return json.dumps(tools, separators=(",", ":"))
+    tools = []
+    for name in C.TOOLS:
+        either = {"anyOf": [{"required": ["edits"]}, {"required": list(pair)}]} if name == "edit" else {}
+        body = shape({k: parameter(*v) for k, v in PARAMETERS[name].items()}, list(C.REQUIRED[name]), **either)
+        tools.append({"type": "function", "function": {"name": name, "description": TOOL_TEXTS[name], "parameters": body}})
+    return json.dumps(tools, ensure_ascii=False, separators=(",", ":"))
 
 
 def training_rows(converted: DataFrame, *keep: str) -> DataFrame:

@@ -116,3 +116,11 @@ def nearest(rows: DataFrame, targets: list[int], min_ratio: float = 0.10) -> Dat
         F.col("source_line"),
     )
     return spread.groupBy("target").agg(F.min_by(F.struct(*rows.columns), rank).alias("_row")).select("target", "_row.*")
+
+
+def parse_targets(text: str) -> list[int]:
+    """The distinct positive numbers of a comma-separated list, ascending; ValueError for others, or for none."""
+    targets = sorted({int(t) for t in text.split(",") if t.strip()})
+    if not targets or targets[0] <= 0:
+        raise ValueError("targets must be positive")
+    return targets

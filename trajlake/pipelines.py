@@ -210,9 +210,12 @@ ENTRIES = {f.__name__: f for f in (prepare, audit_quality, plan, materialize_pla
 
 
 def main(args: list[str] | None = None) -> None:
+    from trajlake import catalog
+
+    entries = ENTRIES | {f.__name__: f for f in catalog.ENTRIES}
     parser = argparse.ArgumentParser(prog="trajlake.pipelines")
     commands = parser.add_subparsers(dest="entry", required=True)
-    for name, entry in ENTRIES.items():
+    for name, entry in entries.items():
         sub = commands.add_parser(name.replace("_", "-"), help=inspect.getdoc(entry))
         for p in list(inspect.signature(entry).parameters.values())[1:]:
             flag = "--" + p.name.replace("_", "-")
@@ -223,7 +226,7 @@ def main(args: list[str] | None = None) -> None:
             else:
                 sub.add_argument(flag, type=type(p.default), default=p.default)
     given = vars(parser.parse_args(args))
-    entry = ENTRIES[given.pop("entry").replace("-", "_")]
+    entry = entries[given.pop("entry").replace("-", "_")]
     from trajlake.session import build_session
 
     print(json.dumps(entry(build_session("trajlake"), **given), ensure_ascii=False, indent=2, sort_keys=True, default=str))

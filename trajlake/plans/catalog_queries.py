@@ -128,7 +128,7 @@ def _histogram_sql(bucket, value, weight):
 SELECT *, {total('records')} AS record_share, {total(weight)} AS weight_share FROM b"""
 
 
-TOKEN_BUCKET = "CASE " + " ".join(f"WHEN input_tokens <= {h} THEN '{lo + 1 if lo else 0}-{h}'" for lo, h in zip((0, *TOKEN_BOUNDS), TOKEN_BOUNDS)) + f" ELSE '>{TOKEN_BOUNDS[-1]}' END"
+TOKEN_BUCKET = "CASE " + " ".join(f"WHEN input_tokens <= {h} THEN '{lo + 1}-{h}'" for lo, h in zip((0, *TOKEN_BOUNDS), TOKEN_BOUNDS)) + f" ELSE '>{TOKEN_BOUNDS[-1]}' END"
 RATIO_BUCKET = "CASE " + " ".join(f"WHEN supervised_ratio < {h} THEN '{lo:.0%}-<{h:.0%}'" for lo, h in zip((0.0, *RATIO_BOUNDS), RATIO_BOUNDS)) + f" ELSE '>={RATIO_BOUNDS[-1]:.0%}' END"
 
 

@@ -42,22 +42,42 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
+#: Work tables of this process that are still there.
+_TABLES: list[str] = []
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _remove(spark: SparkSession, path: str) -> None:
-    if path.startswith(("file:", "/")):
-        # the session may have ended before the interpreter
-        shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
-        return
     try:
-        jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
-    except Exception:  # noqa: BLE001 - the session may be gone already
-        pass
+        p, fs = _file_system(spark, path)
+        fs.delete(p, True)
+    except Exception:  # noqa: BLE001 - the session may have ended before the interpreter
+        if path.startswith("file:"):
+            shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the work tables written so far; results that were not computed yet can't be any more."""
+    while _TABLES:
+        _remove(spark, _TABLES.pop())
 
 
 def work_table(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    Tables are removed by release(), at the latest when the interpreter ends.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/trajlake/{name}-{uuid.uuid4().hex}"
+    p, fs = _file_system(spark, f"{shared_dir(spark)}/trajlake/{name}-{uuid.uuid4().hex}")
+    # with its scheme, so that it is found again whatever the default file system
+    path = fs.makeQualified(p).toString()
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
+    if not _TABLES:
+        atexit.unregister(release)
+        atexit.register(release, spark)
+    _TABLES.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -31,8 +31,11 @@ def read_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl", blank:
     rows = raw.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
     blocks = rows.groupBy("path", "start").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("lines"))
     before = F.sum("lines").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.withColumn("before", F.coalesce(before, F.lit(0))).drop("lines")
-    numbered = rows.join(blocks, ["path", "start"]).select(
+    blocks = blocks.withColumn("before", F.coalesce(before, F.lit(0)))
+    rows = rows.join(blocks, ["path", "start"], "left")
+    # both scans are planned from one listing; should they ever be split unlike, this stops instead of misnumbering
+    within = F.coalesce((F.col("id") >= F.col("first")) & (F.col("id") - F.col("first") < F.col("lines")), F.lit(False))
+    numbered = rows.filter(F.assert_true(within, F.lit("the files changed while their lines were numbered")).isNull()).select(
         F.url_decode(F.regexp_extract("path", r"([^/]+)$", 1)).alias("file"),
         (F.col("id") - F.col("first") + F.col("before") + 1).alias("line"),
         "value",
@@ -146,10 +149,10 @@ class Layout:
     def __init__(self, rules: list[tuple]):
         self.rules = rules
 
-    def companions(self, name: str, manifests: str, verdicts: str, must_exist: bool = False) -> tuple[str, str]:
+    def companions(self, name: str, manifests: str, verdicts: str, must_exist: bool = False, exists=os.path.isfile) -> tuple[str, str]:
         """Paths of manifest and verdict file: the first verdict file that exists, else the first named.
 
-        ValueError for a name of no rule or without version; FileNotFoundError if must_exist and none exists.
+        exists tells whether there is a file at a path. ValueError for a name of no rule or without version; FileNotFoundError if must_exist and none exists.
         """
         import re
 
@@ -162,7 +165,7 @@ class Layout:
             if name.startswith(prefix) and (not only or suffix in only):
                 fill = lambda s: s.format(version=version, suffix=suffix)
                 paths = [os.path.join(verdicts, fill(c)) for c in candidates]
-                present = next((p for p in paths if os.path.isfile(p)), None)
+                present = next((p for p in paths if exists(p)), None)
                 if present is None and must_exist:
                     raise FileNotFoundError(paths[0])
                 return os.path.join(manifests, fill(manifest)), present or paths[0]

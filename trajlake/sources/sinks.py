@@ -96,49 +96,64 @@ def write_groups(rows: DataFrame, group: str, path: str, groups: list[str]) -> d
     return {g: wanted.get(g, 0) for g in groups}
 
 
+#: Files up to this size are hashed by the executors, each in one row; larger ones are streamed.
+ONE_ROW = 1 << 29
+
+
 def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """file, bytes and sha256 of every file under path. Each file is hashed in one task, in chunks of its stream."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("bytes"))
-
-    def hashed(batches):
-        import hashlib
-        from urllib.parse import unquote
-
-        for pdf in batches:
-            out = []
-            for p in pdf["path"]:
-                h = hashlib.sha256()
-                with open(unquote(p.removeprefix("file:")), "rb") as f:
-                    while chunk := f.read(1 << 20):
-                        h.update(chunk)
-                out.append(h.hexdigest())
-            pdf["sha256"] = out
-            yield pdf
-
-    if path.startswith("/") or path.startswith("file:"):
-        rows = files.mapInPandas(hashed, "path string, bytes bigint, sha256 string")
-    else:
-        content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        rows = content.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-    return rows.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "bytes", "sha256")
+    """file, bytes and sha256 of every file under path, on any file system Spark can read.
 
+    Files of more than ONE_ROW bytes are streamed through the driver, one after the other, without being
+    held; writers that want them hashed in parallel keep their files smaller.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    name = F.url_decode(F.regexp_extract("path", r"([^/]+)$", 1)).alias("file")
+    small = files.filter(F.col("length") <= ONE_ROW).select(name, F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.filter(F.col("length") > ONE_ROW).select("path", name, "length").collect()
+    digest = spark.sparkContext._jvm.org.apache.commons.codec.digest.DigestUtils
+    rows = []
+    for r in large:
+        p, fs = _fs(spark, r["path"])
+        stream = fs.open(p)
+        try:
+            rows.append((r["file"], r["length"], digest.sha256Hex(stream)))
+        finally:
+            stream.close()
+    return small.unionByName(spark.createDataFrame(rows, "file string, bytes bigint, sha256 string")) if rows else small
 
-def write_summary(spark: SparkSession, path: str, summary: dict) -> str:
-    """The summary as indented JSON with sorted keys, in one file; returns the text."""
-    text = json.dumps(summary, ensure_ascii=False, indent=2, sort_keys=True)
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, published whole."""
 
     def write(staging):
         p, fs = _fs(spark, staging)
         out = fs.create(p, True)
         try:
-            out.write(bytearray((text + "\n").encode()))
+            out.write(bytearray(text.encode()))
         finally:
             out.close()
 
     publish(spark, path, write)
+
+
+def write_summary(spark: SparkSession, path: str, summary: dict) -> str:
+    """The summary as indented JSON with sorted keys, in one file; returns the text."""
+    text = json.dumps(summary, ensure_ascii=False, indent=2, sort_keys=True, default=str)
+    put_text(spark, path, text + "\n")
     return text
 
 
+def files_in(spark: SparkSession, path: str, ending: str) -> list[str]:
+    """Names of the files in a folder, sorted."""
+    p, fs = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile() and s.getPath().getName().endswith(ending))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
 def nested_counts(rows: DataFrame, levels: list[str], most: int = 100_000) -> dict:
     """{value: {value: records}} of small grouped counts, nulls as 'None'; ValueError beyond `most` groups."""
     counts = rows.groupBy(*levels).agg(F.count(F.lit(1)).alias("_n")).limit(most + 1).collect()
