@@ -78,28 +78,48 @@ def exploded_messages(records: DataFrame, *keep: str) -> DataFrame:
     return records.select(*keep, F.posexplode("messages").alias("position", "m")).select(*keep, "position", "m.*")
 
 
+FIELDS = ("content", "reasoning_content", "tool_call_id", "tool_calls")
+
+
+def message_fields(messages: Column) -> Column:
+    """Of each message its role, which other fields it has, and the length of its content; no text."""
+    return F.transform(messages, lambda m: F.struct(m["role"].alias("role"), *(m[f].isNotNull().alias(f) for f in FIELDS), F.length(m["content"]).alias("characters")))
+
+
+def role_profile_of(rows: DataFrame) -> DataFrame:
+    """Per role: messages, and how many have each of the other fields; rows have message_fields as `fields`."""
+    each = rows.select(F.inline("fields"))
+    return each.groupBy("role").agg(F.count(F.lit(1)).alias("messages"), *(F.count_if(f).alias(f"with_{f}") for f in FIELDS), F.coalesce(F.sum("characters"), F.lit(0)).alias("characters"))
+
+
 def role_profile(records: DataFrame) -> DataFrame:
-    """Per role: messages, and how many have each of the other fields."""
-    rows = exploded_messages(records)
-    fields = ("content", "reasoning_content", "tool_call_id", "tool_calls")
-    return rows.groupBy("role").agg(F.count(F.lit(1)).alias("messages"), *(F.count(f).alias(f"with_{f}") for f in fields), F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("characters"))
+    return role_profile_of(records.select(message_fields(F.col("messages")).alias("fields")))
+
+
+def keys_used(messages: str = "messages") -> Column:
+    """Name and argument keys of each call; keys of arguments that are no object are one null."""
+    keys = lambda c: F.coalesce(F.json_object_keys(c["arguments"]), F.array(F.lit(None).cast("string")))
+    return F.transform(C.tool_calls(F.col(messages)), lambda c: F.struct(c["name"].alias("name"), keys(c).alias("keys")))
+
+
+def argument_keys_of(rows: DataFrame) -> DataFrame:
+    """How often each tool is called with each argument key; rows have keys_used as `used`."""
+    return rows.select(F.inline("used")).select("name", F.explode_outer("keys").alias("key")).groupBy("name", "key").agg(F.count(F.lit(1)).alias("calls"))
 
 
 def argument_keys(records: DataFrame) -> DataFrame:
-    """How often each tool is called with each argument key; calls whose arguments are no object have key null."""
-    calls = records.select(F.explode(C.tool_calls(F.col("messages"))).alias("c")).select("c.*")
-    keys = F.coalesce(F.json_object_keys("arguments"), F.array(F.lit(None).cast("string")))
-    return calls.select("name", F.explode_outer(keys).alias("key")).groupBy("name", "key").agg(F.count(F.lit(1)).alias("calls"))
+    return argument_keys_of(records.select(keys_used().alias("used")))
 
 
-def round_trips(records: DataFrame, key: str = "record_id") -> DataFrame:
+def round_trips(records: DataFrame, *key: str) -> DataFrame:
     """Per record: calls, responses, responses to no earlier call of the record, second responses, calls never answered.
 
     A response answers the call whose id it names if that call stands in an earlier message. Calls
     without id can't be answered by id and aren't counted as unanswered.
     """
     m = F.col("messages")
-    rows = records.select(key, F.transform(m, lambda x, i: F.struct(i.alias("at"), x["role"].alias("role"), x["tool_call_id"].alias("id"))).alias("m"), C.tool_calls(m).alias("calls"))
+    key = key or ("record_id",)
+    rows = records.select(*key, F.transform(m, lambda x, i: F.struct(i.alias("at"), x["role"].alias("role"), x["tool_call_id"].alias("id"))).alias("m"), C.tool_calls(m).alias("calls"))
     known = F.map_from_entries(
         F.transform(F.array_distinct(F.transform(F.filter("calls", lambda c: c["id"].isNotNull()), lambda c: c["id"])), lambda i: F.struct(i, F.array_min(F.transform(F.filter("calls", lambda c: c["id"] == i), lambda c: c["message"]))))
     )
@@ -107,7 +127,7 @@ def round_trips(records: DataFrame, key: str = "record_id") -> DataFrame:
     heard = F.filter("r", lambda x: F.coalesce(F.try_element_at("known", x["id"]) < x["at"], F.lit(False)))
     ids = F.transform(heard, lambda x: x["id"])
     return rows.select(
-        key,
+        *key,
         F.size("calls").alias("calls"),
         F.size("r").alias("responses"),
         (F.size("r") - F.size(heard)).alias("unknown"),

@@ -24,8 +24,17 @@ def q(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
-def records(spark, folder):
-    return audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "messages", "ingested_at"))
+def deliveries(spark, folder):
+    """record_id, ingested_at and messages of every delivery."""
+    return table(spark, folder, "trajectories").select("record_id", "ingested_at", "messages")
+
+
+def once(rows):
+    """One row a record. Rows are measured where they are read and the narrow results deduplicated, so no text is shuffled."""
+    return audit.latest_delivery(rows).drop("ingested_at")
+
+
+KEY = ["record_id", "ingested_at"]
 
 
 @query(
@@ -34,12 +43,12 @@ def records(spark, folder):
 count(m.tool_calls) AS with_tool_calls, coalesce(sum(length(m.content)), 0)::BIGINT AS characters FROM msg GROUP BY ALL""",
 )
 def role_profile(spark, folder):
-    return audit.role_profile(records(spark, folder))
+    return audit.role_profile_of(once(deliveries(spark, folder).select(*KEY, audit.message_fields(F.col("messages")).alias("fields"))))
 
 
 @query("final_roles", f"WITH {TR} SELECT messages[-1].role AS role, count(*) AS records FROM tr GROUP BY ALL")
 def final_roles(spark, folder):
-    return records(spark, folder).groupBy(C.last_role(F.col("messages")).alias("role")).agg(F.count(F.lit(1)).alias("records"))
+    return once(deliveries(spark, folder).select(*KEY, C.last_role(F.col("messages")).alias("role"))).groupBy("role").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query(
@@ -49,7 +58,7 @@ length(coalesce(list_filter(list_transform(list_filter(messages, lambda m: m.rol
 )
 def first_and_last(spark, folder):
     m = F.col("messages")
-    return records(spark, folder).select("record_id", F.length(C.first_user(m)).alias("first_user_chars"), F.length(C.final_answer(m)).alias("answer_chars"))
+    return once(deliveries(spark, folder).select(*KEY, F.length(C.first_user(m)).alias("first_user_chars"), F.length(C.final_answer(m)).alias("answer_chars")))
 
 
 def _sum(role, field="content"):
@@ -71,7 +80,7 @@ count(*) FILTER (m.role = 'tool' AND regexp_matches({LATIN.format('m.content')},
 FROM msg GROUP BY record_id""",
 )
 def record_audit(spark, folder):
-    return audit.audit(records(spark, folder)).select("record_id", *AUDITED)
+    return once(audit.audit(deliveries(spark, folder)).select(*KEY, *AUDITED))
 
 
 ARGS = LATIN.format("arguments")
@@ -92,24 +101,25 @@ b AS (SELECT record_id, sum({PATHS.format('m.content')} + CASE WHEN m.role = 'as
 SELECT record_id, coalesce(n_calls, 0) AS tool_calls, coalesce(destructive, 0) AS destructive_commands, coalesce(network, 0) AS network_commands, (coalesce(a.paths, 0) + b.paths)::BIGINT AS nonportable_path_occurrences, coalesce(a.secrets, 0) + b.secrets AS secret_pattern_hits FROM b LEFT JOIN a USING (record_id)""",
 )
 def safety_audit(spark, folder):
-    rows = audit.with_calls(records(spark, folder))
+    rows = audit.with_calls(deliveries(spark, folder))
     metrics = audit.record_metrics()
     names = ["destructive_commands", "network_commands", "nonportable_path_occurrences", "secret_pattern_hits"]
-    return rows.select("record_id", F.size("calls").alias("tool_calls"), *(metrics[n].alias(n) for n in names))
+    return once(rows.select(*KEY, F.size("calls").alias("tool_calls"), *(metrics[n].alias(n) for n in names)))
 
 
 @query("call_signatures")
 def call_signatures(spark, folder):
     """Calls, repeated and directly repeated calls of each record."""
     signs = C.signatures(F.col("calls"))
-    rows = audit.with_calls(records(spark, folder)).select("record_id", signs.alias("s"))
-    return rows.select("record_id", F.size("s").alias("calls"), C.repeats(F.col("s")).alias("duplicates"), C.adjacent_repeats(F.col("s")).alias("consecutive"))
+    rows = audit.with_calls(deliveries(spark, folder)).select(*KEY, signs.alias("s"))
+    return once(rows.select(*KEY, F.size("s").alias("calls"), C.repeats(F.col("s")).alias("duplicates"), C.adjacent_repeats(F.col("s")).alias("consecutive")))
 
 
 @query("tool_usage", f"WITH {CALLS} SELECT name, count(*) AS calls, count(DISTINCT record_id) AS records, count(id) AS with_id FROM calls GROUP BY ALL")
 def tool_usage(spark, folder):
-    rows = audit.with_calls(records(spark, folder)).select("record_id", F.explode("calls").alias("c")).select("record_id", "c.*")
-    return rows.groupBy("name").agg(F.count(F.lit(1)).alias("calls"), F.count_distinct("record_id").alias("records"), F.count("id").alias("with_id"))
+    used = F.transform(C.tool_calls(F.col("messages")), lambda c: F.struct(c["name"].alias("name"), c["id"].isNotNull().alias("with_id")))
+    rows = once(deliveries(spark, folder).select(*KEY, used.alias("used"))).select("record_id", F.inline("used"))
+    return rows.groupBy("name").agg(F.count(F.lit(1)).alias("calls"), F.count_distinct("record_id").alias("records"), F.count_if("with_id").alias("with_id"))
 
 
 @query(
@@ -118,14 +128,14 @@ def tool_usage(spark, folder):
 SELECT name, key, count(*) AS calls FROM k GROUP BY ALL""",
 )
 def argument_keys(spark, folder):
-    return audit.argument_keys(records(spark, folder))
+    return audit.argument_keys_of(once(deliveries(spark, folder).select(*KEY, audit.keys_used().alias("used"))))
 
 
 @query("canonical_tools")
 def canonical_tools(spark, folder):
     """Records by the first problem of their calls."""
-    rows = audit.with_calls(records(spark, folder))
-    return rows.groupBy(C.tools_status(F.col("calls")).alias("status")).agg(F.count(F.lit(1)).alias("records"))
+    rows = once(audit.with_calls(deliveries(spark, folder)).select(*KEY, C.tools_status(F.col("calls")).alias("status")))
+    return rows.groupBy("status").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query(
@@ -137,21 +147,21 @@ u AS (SELECT record_id, count(*) AS unanswered FROM k WHERE NOT EXISTS (SELECT 1
 SELECT record_id, coalesce(calls, 0) AS calls, coalesce(responses, 0) AS responses, coalesce(unknown, 0) AS unknown, coalesce(repeated, 0) AS repeated, coalesce(unanswered, 0) AS unanswered FROM tr LEFT JOIN n USING (record_id) LEFT JOIN s USING (record_id) LEFT JOIN u USING (record_id)""",
 )
 def round_trips(spark, folder):
-    return audit.round_trips(records(spark, folder))
+    return once(audit.round_trips(deliveries(spark, folder), *KEY))
 
 
 @query("converted_messages")
 def converted_messages(spark, folder):
     """Error of each record's conversion, or its statistics and a digest of all texts but those of calls."""
-    rows = convert.convert(records(spark, folder))
+    rows = convert.convert(deliveries(spark, folder))
     said = F.transform(F.filter("converted", lambda x: x["role"] != "tool_call"), lambda x: F.concat(x["role"], F.lit("\1"), x["content"]))
-    return rows.select("record_id", "error", "conversion.*", F.md5(F.array_join(said, "\2")).alias("said_md5"))
+    return once(rows.select(*KEY, "error", "conversion.*", F.md5(F.array_join(said, "\2")).alias("said_md5")))
 
 
 @query("conversion_errors")
 def conversion_errors(spark, folder):
-    rows = convert.convert(records(spark, folder))
-    return rows.groupBy(F.coalesce("error", F.lit("none")).alias("error")).agg(F.count(F.lit(1)).alias("records"), F.coalesce(F.sum("conversion.output_messages"), F.lit(0)).alias("messages"))
+    rows = once(convert.convert(deliveries(spark, folder)).select(*KEY, "error", "conversion.output_messages"))
+    return rows.groupBy(F.coalesce("error", F.lit("none")).alias("error")).agg(F.count(F.lit(1)).alias("records"), F.coalesce(F.sum("output_messages"), F.lit(0)).alias("messages"))
 
 
 @query(
@@ -159,8 +169,9 @@ def conversion_errors(spark, folder):
     f"WITH {MSG} SELECT CASE WHEN length(m.content) > 4096 THEN 'over_4096' WHEN length(m.content) > 512 THEN '513-4096' ELSE '0-512' END AS bucket, count(*) AS responses, count(DISTINCT record_id) AS records FROM msg WHERE m.role = 'tool' AND m.content IS NOT NULL GROUP BY ALL",
 )
 def long_responses(spark, folder):
-    rows = audit.exploded_messages(records(spark, folder), "record_id").filter("role = 'tool' AND content IS NOT NULL")
-    n = F.length("content")
+    sizes = F.transform(F.filter("messages", lambda m: (m["role"] == "tool") & m["content"].isNotNull()), lambda m: F.length(m["content"]))
+    rows = once(deliveries(spark, folder).select(*KEY, sizes.alias("sizes"))).select("record_id", F.explode("sizes").alias("n"))
+    n = F.col("n")
     return rows.groupBy(cases([(n > 4096, "over_4096"), (n > 512, "513-4096")], F.lit("0-512")).alias("bucket")).agg(F.count(F.lit(1)).alias("responses"), F.count_distinct("record_id").alias("records"))
 
 

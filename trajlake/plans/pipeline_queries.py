@@ -59,23 +59,29 @@ def expected_ids(spark, folder):
     return rows.select("version", "task_id", F.array_sort(documents).alias("documents"), F.array_sort(tables).alias("tables"))
 
 
-def records(spark, folder):
-    """Trajectories, one row a record, with version, line, source (the task folder in _source) and first user text."""
-    rows = audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "source_file", "source_line", "_source", "messages", "ingested_at"))
+def located(rows, *keep):
+    """Deliveries with messages as one row a record: version, line, source (the task folder in _source), first user text and keep.
+
+    What is needed of the messages is computed where they are read; the messages aren't shuffled.
+    """
     folder_name = F.regexp_extract("_source", r"([^/]+)/[^/]+$", 1)
-    return rows.select(
+    rows = rows.select(
         "record_id",
+        "ingested_at",
         "source_file",
         file_version(F.col("source_file"), strict=False).alias("version"),
         F.col("source_line").alias("line"),
         F.when(folder_name != "", keys.task_key(folder_name)).alias("source"),
         C.first_user(F.col("messages")).alias("user_text"),
-        "messages",
+        *keep,
     )
+    return audit.latest_delivery(rows).drop("ingested_at")
 
 
-def resolved(spark, folder, *keep):
-    rows = records(spark, folder).withColumn("text", nfkc(F.col("user_text")))
+def resolved(spark, folder, *keep, rows=None):
+    if rows is None:
+        rows = located(table(spark, folder, "trajectories"))
+    rows = rows.withColumn("text", nfkc(F.col("user_text")))
     m = manifest(spark, folder)
     # sources are task folders here, so the manifest's output is compared without its ending
     m = m.select(F.col("version").alias("v"), "task_id", nfkc(F.col("instruction")).alias("instruction"), keys.task_key(F.regexp_replace("output", r"\.[a-z]+$", "")).alias("output"), F.col("task_id").alias("t"))
@@ -111,19 +117,22 @@ def identity_cascade(spark, folder):
 
 def candidate_status(spark, folder):
     """record_id, source_file and status: the first gate a record fails, or candidate."""
-    rows = resolved(spark, folder, "source_file", "messages")
+    trajectories = table(spark, folder, "trajectories").select("record_id", "ingested_at", "source_file", "source_line", "_source", "messages")
+    # conversion and tool checks are narrow results of the row itself
+    done = convert.convert(trajectories).withColumn("calls", C.tool_calls(F.col("messages")))
+    done = done.withColumns({"n_calls": F.size("calls"), "tools": C.tools_status(F.col("calls")), "last_role": C.last_role(F.col("messages"))})
+    kept = ["error", "n_calls", "tools", "last_role"]
+    rows = resolved(spark, folder, "source_file", *kept, rows=located(done, *kept))
     verdicts = settled_verdicts(spark, folder).select(F.col("v").alias("version"), "task", "verdict")
     rows = rows.join(verdicts, ["version", "task"], "left")
-    rows = convert.convert(rows).withColumn("calls", C.tool_calls(F.col("messages")))
-    tools = C.tools_status(F.col("calls"))
     gates = [
         (F.col("task").isNotNull(), "unaligned"),
         (F.col("verdict").isNotNull(), "without_verdict"),
         (F.col("verdict") == "correct", "not_correct"),
         (F.col("error").isNull(), "conversion_error"),
-        (C.last_role(F.col("messages")) == "assistant", "not_ended_by_assistant"),
-        (F.size("calls") > 0, "without_tool_call"),
-        (tools == "canonical", "noncanonical_tools"),
+        (F.col("last_role") == "assistant", "not_ended_by_assistant"),
+        (F.col("n_calls") > 0, "without_tool_call"),
+        (F.col("tools") == "canonical", "noncanonical_tools"),
     ]
     return rows.select("record_id", "source_file", first_of(gates, "candidate").alias("status"))
 
@@ -144,7 +153,7 @@ def candidate_funnel(spark, folder):
 
 
 def evidence_rows(spark, folder):
-    """Catalogued records with their manifest row and messages."""
+    """Deliveries of catalogued records with their manifest row and messages; to be made one row a record when the texts are gone."""
     m = settled_manifest(spark, folder)
     gold, answer_type = review.gold_answer(F.col("gold_answer"))
     m = m.select(
@@ -160,7 +169,7 @@ def evidence_rows(spark, folder):
         F.array_distinct(F.transform(review.expected(None, [F.col("expected_tables"), F.col("verification_criteria.must_query_tables")]), lambda t: F.lower(t))).alias("tables"),
     )
     rows = catalog(spark, folder).select("record_id", "version", "task_id", "type", "quality_tier")
-    messages = audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "messages", "ingested_at")).select("record_id", "messages")
+    messages = table(spark, folder, "trajectories").select("record_id", "messages", "ingested_at")
     rows = rows.join(m, ["version", "task_id"], "left").join(messages, "record_id")
     empty = F.array().cast("array<string>")
     fill = {c: F.coalesce(c, d) for c, d in (("conflict", F.lit(False)), ("present", F.lit(False)), ("gold", F.lit("")), ("answer_type", F.lit("")), ("documents", empty), ("tables", empty))}
@@ -173,8 +182,8 @@ def evidence_rows(spark, folder):
 )
 def evidence_decisions(spark, folder):
     """Status, reason and evidence of every catalogued record that has a trajectory."""
-    rows = review.with_evidence(evidence_rows(spark, folder))
-    return rows.select("record_id", review.decide(*review.evidence_rules()).alias("d"), "evidence", "tables_accessed").select("record_id", "d.*", "evidence.*", "tables_accessed")
+    rows = review.with_evidence(evidence_rows(spark, folder)).select("record_id", "ingested_at", review.decide(*review.evidence_rules()).alias("d"), "evidence", "tables_accessed")
+    return audit.latest_delivery(rows).select("record_id", "d.*", "evidence.*", "tables_accessed")
 
 
 @query(
@@ -184,15 +193,15 @@ def evidence_decisions(spark, folder):
 )
 def gold_coverage(spark, folder):
     """How far each record's answer covers its gold answer; 0 without one, or where its manifest rows disagree."""
-    rows = evidence_rows(spark, folder).select("record_id", F.when(~F.col("conflict"), F.col("gold")).alias("gold"), C.final_answer(F.col("messages")).alias("answer"))
-    rows = rows.select("record_id", nfkc(F.col("gold")).alias("gold"), nfkc(F.col("answer")).alias("answer"))
+    rows = evidence_rows(spark, folder).select("record_id", "ingested_at", F.when(~F.col("conflict"), F.col("gold")).alias("gold"), C.final_answer(F.col("messages")).alias("answer"))
+    rows = audit.latest_delivery(rows).select("record_id", nfkc(F.col("gold")).alias("gold"), nfkc(F.col("answer")).alias("answer"))
     return rows.select("record_id", bigram_coverage(F.col("gold"), F.col("answer")).alias("coverage"))
 
 
 @query("answer_numbers", f"WITH {TR}, {R.ANSWERS} SELECT record_id, {R.numbers('answer')} AS numbers FROM answers")
 def answer_numbers(spark, folder):
     """The distinct numbers of each final answer, sorted."""
-    answers = audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "messages", "ingested_at")).select("record_id", C.final_answer(F.col("messages")).alias("answer"))
+    answers = audit.latest_delivery(table(spark, folder, "trajectories").select("record_id", "ingested_at", C.final_answer(F.col("messages")).alias("answer")))
     return answers.select("record_id", numbers(F.col("answer")).alias("numbers"))
 
 
@@ -203,7 +212,8 @@ SELECT record_id, CASE WHEN length(clean) > 200 THEN left(clean, 200) || '…' E
 )
 def decision_samples(spark, folder):
     """Two records of each reason, with the answer cut to 200 characters."""
-    rows = review.with_evidence(evidence_rows(spark, folder)).select("record_id", "answer", review.decide(*review.evidence_rules()).alias("d")).select("record_id", "answer", "d.status", "d.reason")
+    rows = review.with_evidence(evidence_rows(spark, folder)).select("record_id", "ingested_at", "answer", review.decide(*review.evidence_rules()).alias("d"))
+    rows = audit.latest_delivery(rows).select("record_id", "answer", "d.status", "d.reason")
     return review.sample_per_reason(rows, ["record_id"], 2, 200, ("answer",))
 
 
@@ -214,4 +224,4 @@ k AS (SELECT DISTINCT record_id, version, {keys.task_sql('task_id')} AS task_id
 SELECT coalesce(conflict, false) AS conflict, c.version IS NOT NULL AS present, count(*) AS records FROM k LEFT JOIN c USING (version, task_id) WHERE record_id IN (SELECT record_id FROM trajectories) GROUP BY ALL""",
 )
 def decision_inputs(spark, folder):
-    return evidence_rows(spark, folder).groupBy("conflict", "present").agg(F.count(F.lit(1)).alias("records"))
+    return audit.latest_delivery(evidence_rows(spark, folder).select("record_id", "ingested_at", "conflict", "present")).groupBy("conflict", "present").agg(F.count(F.lit(1)).alias("records"))
