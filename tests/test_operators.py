@@ -309,3 +309,20 @@ def test_fingerprint_has_six_fields(spark):
     assert len(set(got[:4])) == 1 and len(set(got)) == 1 + len(unlike)
     types = spark.createDataFrame([("kb", "sql"), (None, "kb"), ("", "kb"), ("unknown", "kb"), (None, None)], "a string, b string")
     assert [r[0] for r in types.select(review.task_type(types.a, types.b)).collect()] == ["kb", "kb", "kb", "kb", ""]
+
+
+@pytest.mark.parametrize("one_task", [0, 10, 10**6])
+def test_ranks_by_ranges_equal_ranks_in_one_task(spark, one_task):
+    rng = random.Random(11)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([None, rng.random(), 0.5, rng.randint(-3, 3)]), rng.randint(0, 5)) for _ in range(700)] + [("c", None, None)]
+    df = spark.createDataFrame([(g, None if x is None else float(x), y) for g, x, y in rows], "g string, x double, y bigint").repartition(5)
+    ratios = [0.0, 0.05, 0.5, 0.95, 1.0]
+    got = {r["g"]: r for r in stats.nearest_rank(df, ["g"], ["x", "y"], ratios, one_task).collect()}
+    assert set(got) == {"a", "b", "c", None}
+    for g, r in got.items():
+        for i, name in ((1, "x"), (2, "y")):
+            values = [row[i] for row in rows if row[0] == g and row[i] is not None]
+            assert [r[f"{name}_p{round(q * 100):02d}"] for q in ratios] == [brute_rank(values, q) if values else None for q in ratios]
+    whole = stats.nearest_rank(df, [], ["x"], [0.5], one_task).first()
+    assert whole["x_p50"] == brute_rank([r[1] for r in rows if r[1] is not None], 0.5)
+    assert stats.nearest_rank(df.filter("false"), ["g"], ["x"], [0.5], one_task).count() == 0

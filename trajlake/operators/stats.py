@@ -2,8 +2,9 @@
 
 Percentiles are the element at round-half-even((n - 1) x r) of the sorted values, which no built-in
 gives. They are computed by counting: equal values are added up before the shuffle, and ranks come
-from running sums over the distinct values of a group. A group of a third of all rows is thereby a
-list of its distinct values, never of its rows.
+from running sums over the distinct values. Of many distinct values (ratios have nearly as many as
+rows) the counts are sorted into ranges over the cluster; the totals of the ranges tell in which one a
+rank lies, and only that one is looked through. No task gets a group's values.
 """
 
 from __future__ import annotations
@@ -11,17 +12,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trajlake.session import work_table
 
-def nearest_rank(df: DataFrame, by: list[str], values: list[str], ratios: list[float]) -> DataFrame:
+
+#: Distinct values that one task may rank in memory; more are ranked by ranges.
+ONE_TASK = 1_000_000
+
+
+def _ranked(counts: DataFrame, by: list[str], wanted: list[tuple[str, float]], one_task: int) -> DataFrame:
+    """counts (by, _f, _v, _n) with _upto, the values up to this one, and _total; where there are more than
+    one_task of them, only those of the ranges in which a wanted rank lies."""
+    group = [*by, "_f"]
+    upto = Window.partitionBy(*group).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = work_table(counts, "value_counts")
+    if counts.count() <= one_task:
+        return counts.withColumns({"_upto": F.sum("_n").over(upto), "_total": F.sum("_n").over(Window.partitionBy(*group))})
+    ranges = work_table(counts.repartitionByRange(*group, "_v").withColumn("_p", F.spark_partition_id()), "value_ranges")
+    # one row for each range and group in it: at most the groups and the ranges together
+    sums = ranges.groupBy(*group, "_p").agg(F.sum("_n").alias("_in"))
+    order = Window.partitionBy(*group).orderBy("_p")
+    sums = sums.withColumns({"_before": F.sum("_in").over(order) - F.col("_in"), "_total": F.sum("_in").over(Window.partitionBy(*group))})
+    rank = lambda r: F.rint((F.col("_total") - 1) * F.lit(r))
+    hit = F.lit(False)
+    for f, r in wanted:
+        hit = hit | ((F.col("_f") == f) & (F.col("_before") <= rank(r)) & (rank(r) < F.col("_before") + F.col("_in")))
+    found = join_on_nullable(sums.filter(hit), ranges, [*group, "_p"], "inner")
+    inside = Window.partitionBy(*group, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return found.withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
+
+
+def nearest_rank(df: DataFrame, by: list[str], values: list[str], ratios: list[float], one_task: int = ONE_TASK) -> DataFrame:
     """One row a group: by, and <value>_p<percent> for every value and ratio; null values are left out.
 
-    A group whose values are all null has null percentiles. by may be empty: one row, or none for no rows.
+    A group whose values are all null has null percentiles. by may be empty: one row, of nulls for no rows.
     """
     rows = df.select(*by, F.explode(F.array(*(F.struct(F.lit(v).alias("_f"), F.col(v).cast("double").alias("_v")) for v in values))).alias("_x")).select(*by, "_x.*")
-    counts = rows.filter("_v IS NOT NULL").groupBy(*by, "_f", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.partitionBy(*by, "_f").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*by, "_f")
-    ranked = counts.select(*by, "_f", "_v", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(whole).alias("_total"), "_n")
+    counts = rows.groupBy(*by, "_f", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # nulls count nothing, but keep their group
+    counts = counts.withColumn("_n", F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0))
+    ranked = _ranked(counts, by, [(v, r) for v in values for r in ratios], one_task)
     wanted = []
     for v in values:
         for r in ratios:
@@ -31,12 +60,9 @@ def nearest_rank(df: DataFrame, by: list[str], values: list[str], ratios: list[f
     found = ranked.groupBy(*by).agg(*wanted)
     if not by:
         return found
-    groups = df.select(*by).distinct()
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
-    return groups.alias("l").join(found.alias("r"), condition, "left").select(*(F.col(f"l.{c}") for c in by), *(F.col(f"r.{c}") for c in found.columns if c not in by))
+    # groups without any value of which a rank was looked for
+    groups = counts.select(*by).distinct()
+    return join_on_nullable(groups, found, by)
 
 
 def join_on_nullable(left: DataFrame, right: DataFrame, by: list[str], how: str = "left") -> DataFrame:

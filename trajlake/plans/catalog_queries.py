@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trajlake.functions import keys
 from trajlake.functions.labels import LONG_PHASE, RATIO_BOUNDS, TIERS, TOKEN_BOUNDS, evidence_tier, family_of_file, output_group, phase, ratio_bucket, stable_split, token_bucket
 from trajlake.operators import calibrate, ingest, planning, stats
+from trajlake.session import work_table
 from trajlake.sources.tables import table
 
 from .registry import query
@@ -14,17 +15,21 @@ from .registry import query
 PLACE = ["source_file", "source_line"]
 
 
-def catalog(spark, folder):
-    """token_catalog with canonical labels, the latest row of each record."""
-    rows = ingest.last_wins(table(spark, folder, "token_catalog"), ["record_id"], ["cataloged_at"])
-    return rows.withColumns(
-        {
-            "source_family": keys.family_key(F.col("source_family"), F.col("source_file")),
-            "type": keys.label_key(F.col("type")),
-            "quality_tier": keys.tier_key(F.col("quality_tier")),
-            "task_id": keys.task_key(F.col("task_id")),
-        }
-    )
+def catalog(spark, folder, *columns):
+    """token_catalog with canonical labels, the latest row of each record; only the named columns (and record_id) if any are named."""
+    rows = table(spark, folder, "token_catalog")
+    if columns:
+        # the family may be told by the file
+        rows = rows.select(*dict.fromkeys(["record_id", "cataloged_at", *columns, *(["source_file"] if "source_family" in columns else [])]))
+    rows = ingest.last_wins(rows, ["record_id"], ["cataloged_at"])
+    labels = {
+        "source_family": lambda: keys.family_key(F.col("source_family"), F.col("source_file")),
+        "type": lambda: keys.label_key(F.col("type")),
+        "quality_tier": lambda: keys.tier_key(F.col("quality_tier")),
+        "task_id": lambda: keys.task_key(F.col("task_id")),
+    }
+    rows = rows.withColumns({c: f() for c, f in labels.items() if c in rows.columns})
+    return rows.select("record_id", *(c for c in dict.fromkeys(columns) if c != "record_id")) if columns else rows
 
 
 CATALOG = f"""catalog AS (SELECT record_id, source_file, source_line, {keys.family_sql('source_family', 'source_file')} AS source_family, version,
@@ -93,7 +98,7 @@ PLANNED = f"{DIVERSE}, plan AS (SELECT *, {SPLIT} AS split FROM chosen)"
 
 @query("catalog_counts", f"WITH {CATALOG} SELECT source_family, type, count(*) AS records, count(DISTINCT task_id) AS tasks FROM catalog GROUP BY ALL")
 def catalog_counts(spark, folder):
-    return catalog(spark, folder).groupBy("source_family", "type").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("task_id").alias("tasks"))
+    return catalog(spark, folder, "source_family", "type", "task_id").groupBy("source_family", "type").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("task_id").alias("tasks"))
 
 
 @query(
@@ -114,12 +119,14 @@ round_even(coalesce(sum(supervised_tokens), 0)::DOUBLE / greatest(1, coalesce(su
 {pct('input_tokens', 0.5)} AS input_tokens_p50, {pct('input_tokens', 0.95)} AS input_tokens_p95 FROM catalog GROUP BY ALL""",
 )
 def token_summary(spark, folder):
-    return stats.group_summary(catalog(spark, folder), ["source_family", "type"], "input_tokens", "supervised_tokens")
+    # summed and ranked: two readings of one table that is made once
+    rows = work_table(catalog(spark, folder, "source_family", "type", "input_tokens", "supervised_tokens"), "catalog")
+    return stats.group_summary(rows, ["source_family", "type"], "input_tokens", "supervised_tokens")
 
 
 @query("median_tokens", f"WITH {CATALOG} SELECT source_family, trunc(median(input_tokens))::BIGINT AS median, min(input_tokens) AS least, max(input_tokens) AS largest FROM catalog GROUP BY ALL")
 def median_tokens(spark, folder):
-    return catalog(spark, folder).groupBy("source_family").agg(stats.median_truncated("input_tokens").alias("median"), F.min("input_tokens").alias("least"), F.max("input_tokens").alias("largest"))
+    return catalog(spark, folder, "source_family", "input_tokens").groupBy("source_family").agg(stats.median_truncated("input_tokens").alias("median"), F.min("input_tokens").alias("least"), F.max("input_tokens").alias("largest"))
 
 
 def _histogram_sql(bucket, value, weight):
@@ -134,19 +141,19 @@ RATIO_BUCKET = "CASE " + " ".join(f"WHEN supervised_ratio < {h} THEN '{lo:.0%}-<
 
 @query("length_histogram", _histogram_sql(TOKEN_BUCKET, "input_tokens", "input_tokens"))
 def length_histogram(spark, folder):
-    rows = catalog(spark, folder).filter("input_tokens IS NOT NULL")
+    rows = catalog(spark, folder, "input_tokens").filter("input_tokens IS NOT NULL")
     return stats.histogram(rows, token_bucket(F.col("input_tokens")), "input_tokens", F.col("input_tokens").cast("double"))
 
 
 @query("ratio_histogram", _histogram_sql(RATIO_BUCKET, "supervised_ratio", "input_tokens"))
 def ratio_histogram(spark, folder):
-    rows = catalog(spark, folder).filter("supervised_ratio IS NOT NULL")
+    rows = catalog(spark, folder, "supervised_ratio", "input_tokens").filter("supervised_ratio IS NOT NULL")
     return stats.histogram(rows, ratio_bucket(F.col("supervised_ratio")), "input_tokens", F.col("supervised_ratio"))
 
 
 @query("stable_split", f"WITH {CATALOG} SELECT DISTINCT task_id, {SPLIT} AS split FROM catalog")
 def stable_splits(spark, folder):
-    return catalog(spark, folder).select("task_id", stable_split(F.col("task_id")).alias("split")).distinct()
+    return catalog(spark, folder, "task_id").select("task_id", stable_split(F.col("task_id")).alias("split")).distinct()
 
 
 @query("duplicate_places", "SELECT count(*) AS groups, coalesce(sum(c), 0)::BIGINT AS records FROM (SELECT count(*) AS c FROM token_catalog GROUP BY source_file, source_line HAVING count(*) > 1)")
@@ -169,7 +176,7 @@ def key_reconcile(spark, folder):
 )
 def missing_verdicts(spark, folder):
     known = table(spark, folder, "verdicts").select(F.col("v").alias("version"), keys.task_key(F.col("task_id")).alias("task_id"))
-    return catalog(spark, folder).join(known, ["version", "task_id"], "left_anti").groupBy("version", "task_id").agg(F.count(F.lit(1)).alias("records"))
+    return catalog(spark, folder, "version", "task_id").join(known, ["version", "task_id"], "left_anti").groupBy("version", "task_id").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query(
@@ -199,7 +206,7 @@ FROM catalog LEFT JOIN one ON v = version AND task = task_id GROUP BY ALL""",
 )
 def verdict_tiers(spark, folder):
     v = settled_verdicts(spark, folder).select(F.col("v").alias("version"), F.col("task").alias("task_id"), "verdict", F.col("type").alias("v_type"), "evidence")
-    rows = catalog(spark, folder).join(v, ["version", "task_id"], "left")
+    rows = catalog(spark, folder, "version", "task_id").join(v, ["version", "task_id"], "left")
     tier = evidence_tier(F.col("evidence.agent_sql_ok"), F.col("evidence.is_report"), F.col("v_type"))
     return rows.groupBy(F.coalesce("verdict", F.lit("missing")).alias("verdict"), tier.alias("tier")).agg(F.count(F.lit(1)).alias("records"))
 
@@ -252,7 +259,7 @@ def longest_rows(spark, folder):
 {tier_rank(planning.BENCHMARK_TIERS, 4)}, -coalesce(supervised_tokens, 0), source_file, source_line) AS n FROM catalog, (SELECT unnest([1024, 2048, 4096, 8192]) AS target) WHERE input_tokens IS NOT NULL) WHERE n = 1""",
 )
 def nearest_rows(spark, folder):
-    return planning.nearest(catalog(spark, folder), [4096, 1024, 8192, 2048]).select("target", "record_id", "input_tokens")
+    return planning.nearest(catalog(spark, folder, "input_tokens", "supervised_ratio", "quality_tier", "supervised_tokens", "source_file", "source_line"), [4096, 1024, 8192, 2048]).select("target", "record_id", "input_tokens")
 
 
 @query(
@@ -264,7 +271,7 @@ def nearest_rows(spark, folder):
     ),
 )
 def status_summary(spark, folder):
-    rows = catalog(spark, folder).withColumn("phase", phase(F.col("input_tokens"))).select("phase", "type", "source_family", "input_tokens")
+    rows = catalog(spark, folder, "type", "source_family", "input_tokens").withColumn("phase", phase(F.col("input_tokens"))).select("phase", "type", "source_family", "input_tokens")
     sets = [["phase"], ["phase", "type"], ["type", "phase"], ["phase", "source_family"], []]
     return stats.counts_by(rows, sets, F.coalesce(F.sum("input_tokens"), F.lit(0)).alias("tokens"))
 
@@ -298,6 +305,27 @@ def quality_by_family(spark, folder):
     return stats.join_on_nullable(counts, stats.nearest_rank(rows, ["source_family"], ["error_rate"], [0.5, 0.95]), ["source_family"])
 
 
+RATES = {"tool_error_records": "tool_error_messages", "duplicate_call_records": "duplicate_tool_calls", "nonportable_path_records": "nonportable_path_occurrences", "destructive_command_records": "destructive_commands", "secret_pattern_records": "secret_pattern_hits"}
+
+
+@query(
+    "quality_groups",
+    f"""WITH {CATALOG}, a AS (SELECT catalog.source_family, catalog.type, catalog.quality_tier, {', '.join(RATES.values())}, tool_response_messages::DOUBLE / greatest(1, total_chars) AS density
+  FROM (SELECT DISTINCT ON (source_file, source_line) * FROM content_audit ORDER BY source_file, source_line, total_chars DESC) JOIN catalog USING (source_file, source_line)),
+g AS (SELECT 'source_family' AS field, source_family AS value, * FROM a UNION ALL SELECT 'type', type, * FROM a UNION ALL SELECT 'quality_tier', quality_tier, * FROM a)
+SELECT field, value, count(*) AS records, {', '.join(f'count(*) FILTER ({c} > 0) AS {n}' for n, c in RATES.items())}, {pct('density', 0.5)} AS density_p50, {pct('density', 0.95)} AS density_p95 FROM g GROUP BY field, value""",
+)
+def quality_groups(spark, folder):
+    """Quality rates by family, by type and by tier, and percentiles of tool responses a character, from one scan."""
+    metrics = table(spark, folder, "content_audit").select(*PLACE, *RATES.values(), "tool_response_messages", "total_chars")
+    rows = ingest.last_wins(metrics, PLACE, ["total_chars"]).join(catalog(spark, folder, *PLACE, "source_family", "type", "quality_tier"), PLACE)
+    rows = rows.withColumn("density", F.col("tool_response_messages") / F.greatest(F.lit(1), F.col("total_chars")))
+    fields = F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in ("source_family", "type", "quality_tier")))
+    rows = work_table(rows.select(F.explode(fields).alias("g"), *RATES.values(), "density").select("g.*", *RATES.values(), "density"), "quality_groups")
+    counts = rows.groupBy("field", "value").agg(F.count(F.lit(1)).alias("records"), *(F.count_if(F.col(c) > 0).alias(n) for n, c in RATES.items()))
+    return stats.join_on_nullable(counts, stats.nearest_rank(rows, ["field", "value"], ["density"], [0.5, 0.95]), ["field", "value"])
+
+
 def _ratio_sql(group, name_family, name_type):
     r = "input_tokens::DOUBLE / greatest(1, characters)"
     return f"SELECT {name_family} AS source_family, {name_type} AS type, {pct('x', 0.05)} AS chars_p05, {pct('x', 0.5)} AS chars_p50, {pct('x', 0.95)} AS chars_p95, {pct('supervised_ratio', 0.5)} AS supervised_p50 FROM (SELECT *, {r} AS x FROM calibration) {group}"
@@ -320,7 +348,7 @@ SELECT record_id, greatest(1, round_even(characters * p50, 0))::BIGINT AS estima
 greatest(1, round_even(greatest(1, round_even(characters * p50, 0)) * s50, 0))::BIGINT AS supervised FROM e WHERE characters IS NOT NULL""",
 )
 def estimated_tokens(spark, folder):
-    rows = catalog(spark, folder).filter("characters IS NOT NULL")
+    rows = catalog(spark, folder, "source_family", "type", "characters").filter("characters IS NOT NULL")
     return calibrate.estimate(rows, table(spark, folder, "calibration")).select("record_id", "estimate", "low", "high", "supervised")
 
 
@@ -329,5 +357,5 @@ def estimated_tokens(spark, folder):
     f"WITH {CATALOG} SELECT source_family, count(*) AS estimated, count(*) FILTER (len(list_filter([8192, 16384, 32768, 1024], lambda b: input_tokens_estimate_low <= b AND b < input_tokens_estimate_high)) > 0) AS boundary_sensitive FROM catalog WHERE input_tokens_estimate_low IS NOT NULL GROUP BY ALL",
 )
 def boundary_estimates(spark, folder):
-    rows = catalog(spark, folder).filter("input_tokens_estimate_low IS NOT NULL")
+    rows = catalog(spark, folder, "source_family", "input_tokens_estimate_low", "input_tokens_estimate_high").filter("input_tokens_estimate_low IS NOT NULL")
     return rows.groupBy("source_family").agg(F.count(F.lit(1)).alias("estimated"), calibrate.boundary_sensitive("input_tokens_estimate_low", "input_tokens_estimate_high", [8192, 16384, 32768, 1024]).alias("boundary_sensitive"))

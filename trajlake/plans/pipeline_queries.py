@@ -168,7 +168,7 @@ def evidence_rows(spark, folder):
         review.expected(F.col("citation.doc_id"), [F.col("source_documents")]).alias("documents"),
         F.array_distinct(F.transform(review.expected(None, [F.col("expected_tables"), F.col("verification_criteria.must_query_tables")]), lambda t: F.lower(t))).alias("tables"),
     )
-    rows = catalog(spark, folder).select("record_id", "version", "task_id", "type", "quality_tier")
+    rows = catalog(spark, folder, "version", "task_id", "type", "quality_tier")
     messages = table(spark, folder, "trajectories").select("record_id", "messages", "ingested_at")
     rows = rows.join(m, ["version", "task_id"], "left").join(messages, "record_id")
     empty = F.array().cast("array<string>")
