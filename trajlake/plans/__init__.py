@@ -1 +1 @@
-from . import catalog_queries, message_queries, pipeline_queries  # noqa: F401  (they register their queries)
+from . import catalog_queries, io_queries, message_queries, pipeline_queries  # noqa: F401  (they register their queries)

@@ -66,18 +66,19 @@ def release(spark: SparkSession) -> None:
         _remove(spark, _TABLES.pop())
 
 
-def work_table(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors.
-
-    Tables are removed by release(), at the latest when the interpreter ends.
-    """
-    spark = df.sparkSession
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, with its scheme; removed by release(), at the latest when the interpreter ends."""
     p, fs = _file_system(spark, f"{shared_dir(spark)}/trajlake/{name}-{uuid.uuid4().hex}")
-    # with its scheme, so that it is found again whatever the default file system
     path = fs.makeQualified(p).toString()
-    df.write.option("compression", "zstd").parquet(path)
     if not _TABLES:
         atexit.unregister(release)
         atexit.register(release, spark)
     _TABLES.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def work_table(df: DataFrame, name: str) -> DataFrame:
+    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    path = work_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajlake.session import work_table
+
 
 def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -77,6 +79,8 @@ def write_groups(rows: DataFrame, group: str, path: str, groups: list[str]) -> d
     A value of group that isn't in groups raises. An empty group has no folder.
     """
     spark = rows.sparkSession
+    # counted and written from one table, so that both see the same rows and the plan runs once
+    rows = work_table(rows, "groups")
     wanted = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect()}
     if unknown := set(wanted) - set(groups):
         raise ValueError(f"unknown groups: {sorted(map(str, unknown))}")
