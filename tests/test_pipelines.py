@@ -53,12 +53,21 @@ def test_audit_plan_materialize_rejudge(spark, files):
     put(out, "catalog.jsonl", catalog)
     summary = pipelines.audit_quality(spark, data, f"{out}/catalog.jsonl", f"{out}/quality", f"{out}/quality.json")
     assert summary["records"] == 3 and "one" not in json.dumps(lines(spark, f"{out}/quality"))
+    assert summary["by_quality_tier"]["kb_rule_only"]["records"] == 3 and summary["by_type"]["kb"]["tool_error_records"] == 0
+    assert summary["top_level_tools_present"] == 0 and summary["distinct_system_prompts"] == 1 and summary["system_tool_contract_present"] == 3
+    # of a repeated place the last row counts
+    put(out, "twice.jsonl", [catalog[0] | {"type": "old"}, *catalog])
+    assert set(pipelines.audit_quality(spark, data, f"{out}/twice.jsonl", f"{out}/quality2", f"{out}/quality2.json")["by_type"]) == {"kb"}
     summary = pipelines.plan(spark, f"{out}/catalog.jsonl", f"{out}/quality", f"{out}/plan", f"{out}/plan.json")
     assert summary["excluded"] == {"short_final_answer": 1} and summary["selected"] == 2
     summary = pipelines.materialize_plan_sets(spark, f"{out}/plan", data, f"{out}/sets", f"{out}/sets.json")
     assert sum(summary["sets"].values()) == 2 and all(len(f["sha256"]) == 64 for f in summary["files"])
     summary = pipelines.rejudge(spark, f"{out}/plan", data, manifests, f"{out}/decisions", f"{out}/decisions.json")
     assert summary["records"] == 2 and set(summary["by_status"]) <= {"auto_pass", "auto_reject", "manual_review"}
+    reversed_plan = lines(spark, f"{out}/plan")[::-1]
+    put(out, "reversed.jsonl", reversed_plan)
+    pipelines.rejudge(spark, f"{out}/reversed.jsonl", data, manifests, f"{out}/decisions2", f"{out}/decisions2.json")
+    assert [r["source_line"] for r in lines(spark, f"{out}/decisions2")] == [r["source_line"] for r in reversed_plan]
     summary = pipelines.select_longest(spark, f"{out}/plan", f"{out}/longest", f"{out}/longest.json", limit=sum(r["split"] == "train" for r in lines(spark, f"{out}/plan")))
     assert summary["records"] == len(lines(spark, f"{out}/longest"))
     put(out, "bad.jsonl", catalog[:1] + [catalog[1] | {"source_line": 99}])

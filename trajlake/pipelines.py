@@ -17,6 +17,7 @@ from trajlake.functions import calls as C
 from trajlake.functions.labels import LONG_PHASE, TIERS, output_group, stable_split
 from trajlake.functions.text import nfkc
 from trajlake.operators import audit, convert, identity, ingest, planning, review, stats
+from trajlake.session import release, work_table
 from trajlake.sources import jsonl, sinks
 
 PLACE = ["source_file", "source_line"]
@@ -70,8 +71,10 @@ def prepare(spark: SparkSession, input: str, manifests: str, verdicts: str, outp
     if (clash := v.filter("conflict").count()) > 0:
         raise ValueError(f"{clash} tasks with conflicting verdicts")
     rows = aligned(spark, records(spark, input), manifests, version).join(v.select("task", "verdict", "type"), "task", "left")
+    rows = convert.convert(rows).drop("messages", "line", "text", "tools")
+    rows = work_table(rows.withColumn("converted", F.when(F.col("verdict").isin(*allowed_verdict.split(",")), F.col("converted"))), "prepared")
     counts = rows.agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("task").isNull()).alias("unmatched"), F.count_if(F.col("task").isNotNull() & F.col("verdict").isNull()).alias("missing_verdict")).first().asDict()
-    chosen = convert.convert(rows.filter(F.col("verdict").isin(*allowed_verdict.split(","))))
+    chosen = rows.filter(F.col("verdict").isin(*allowed_verdict.split(",")))
     errors = {r["error"]: r["n"] for r in chosen.filter("error IS NOT NULL").groupBy("error").agg(F.count(F.lit(1)).alias("n")).collect()}
     if counts["unmatched"] or counts["missing_verdict"] or (errors and not skip_conversion_errors):
         raise ValueError(f"nothing written: {counts}, conversion errors {errors}")
@@ -85,20 +88,43 @@ def prepare(spark: SparkSession, input: str, manifests: str, verdicts: str, outp
     training = convert.training_rows(good, *PLACE, "conversion").orderBy(*order).select("tools", "messages")
     sinks.write_jsonl(training, output, expected=n)
     sinks.write_jsonl(good.select(*PLACE, "version", F.col("task").alias("task_id"), "type", "verdict", "conversion"), metadata_output, order, expected=n)
-    return counts | {"written": n, "conversion_errors": errors, "methods": sinks.nested_counts(rows, ["method"])}
+    report = counts | {"written": n, "conversion_errors": errors, "methods": sinks.nested_counts(rows, ["method"])}
+    release(spark)
+    return report
+
+
+AUDIT_FIELDS = ["tool_response_char_ratio", "tool_response_max_chars", "tool_error_messages", "duplicate_tool_calls", "consecutive_duplicate_tool_calls", "destructive_commands", "network_commands", "nonportable_path_occurrences", "secret_pattern_hits", "final_assistant_chars"]
+RATES = {"tool_error_records": "tool_error_messages", "duplicate_call_records": "duplicate_tool_calls", "nonportable_path_records": "nonportable_path_occurrences", "destructive_command_records": "destructive_commands", "secret_pattern_records": "secret_pattern_hits"}
+
+
+def _rates(metrics: DataFrame, by: str) -> dict:
+    """Quality rates and percentiles of the response share of each value of a column."""
+    counts = metrics.groupBy(by).agg(F.count(F.lit(1)).alias("records"), *(F.count_if(F.col(c) > 0).alias(n) for n, c in RATES.items()))
+    rows = stats.join_on_nullable(counts, stats.nearest_rank(metrics, [by], ["tool_response_char_ratio"], [0.5, 0.95]), [by])
+    return {str(r[by]): {k: v for k, v in r.asDict().items() if k != by} for r in rows.collect()}
 
 
 def audit_quality(spark: SparkSession, data_dir: str, candidate_catalog: str, record_output: str, summary_output: str) -> dict:
-    """Content metrics of the catalogued records; every one of them must be in the raw data."""
-    catalog = ingest.require_unique(rows_of(spark, candidate_catalog, TOKENS), PLACE)
-    rows = catalog.join(records(spark, data_dir).select(*PLACE, "messages"), PLACE)
-    ingest.require_complete(catalog, rows, PLACE)
-    metrics = audit.audit(rows)
+    """Content metrics of the catalogued records; every one of them must be in the raw data. Of repeated catalog places the last row counts."""
+    catalog = rows_of(spark, candidate_catalog, TOKENS).withColumn("_at", F.monotonically_increasing_id())
+    catalog = work_table(ingest.last_wins(catalog, PLACE, ["_at"]).drop("_at"), "catalog")
+    rows = catalog.join(records(spark, data_dir).select(*PLACE, "messages", (F.col("tools_type") == "list").alias("top_level_tools_present")), PLACE)
+    metrics = work_table(audit.audit(rows), "metrics")
+    ingest.require_complete(catalog, metrics, PLACE)
     sinks.write_jsonl(metrics, record_output, PLACE, expected=catalog.count())
-    fields = ["total_chars", "tool_response_messages", "tool_error_messages", "duplicate_tool_calls", "destructive_commands", "network_commands", "nonportable_path_occurrences", "secret_pattern_hits", "final_assistant_chars"]
-    shown = {r["field"]: r.asDict() for r in stats.distribution(metrics, fields).collect()}
-    summary = {"records": catalog.count(), "distribution": shown, "by_family": sinks.nested_counts(metrics, ["source_family", "type"])}
+    some = lambda c: F.count_if(c)
+    totals = metrics.agg(
+        F.count(F.lit(1)).alias("records"),
+        some(F.col("top_level_tools_present")).alias("top_level_tools_present"),
+        some(F.col("system_chars") > 0).alias("system_message_present"),
+        F.count_distinct("system_fingerprint").alias("distinct_system_prompts"),
+        some(F.col("system_tool_contract_present")).alias("system_tool_contract_present"),
+        *(F.coalesce(F.sum(f"tool_response_over_{b}"), F.lit(0)).alias(f"tool_response_over_{b}_messages") for b in audit.RESPONSE_BOUNDS),
+    )
+    summary = totals.first().asDict() | {"distribution": {r["field"]: r.asDict() for r in stats.distribution(metrics, AUDIT_FIELDS).collect()}}
+    summary |= {f"by_{c}": _rates(metrics, c) for c in ("source_family", "type", "quality_tier")}
     sinks.write_summary(spark, summary_output, summary)
+    release(spark)
     return summary
 
 
@@ -109,9 +135,9 @@ def plan(spark: SparkSession, token_catalog: str, content_quality_catalog: str,
     tokens = ingest.last_wins(rows_of(spark, token_catalog, TOKENS), PLACE, ["input_tokens"])
     quality = spark.read.json(content_quality_catalog)
     rows = ingest.merge_exact(tokens, ingest.last_wins(quality, PLACE, ["total_chars"]), PLACE)
-    rows = planning.gated(rows, production_max_tokens, min_final_chars=min_final_answer_chars)
+    rows = work_table(planning.gated(rows, production_max_tokens, min_final_chars=min_final_answer_chars), "gated")
     kept = rows.filter(F.size("reasons") == 0).drop("reasons")
-    best = planning.best_of(kept, ["phase", "version", "task_id"], planning.plan_order())
+    best = work_table(planning.best_of(kept, ["phase", "version", "task_id"], planning.plan_order()), "best")
     chosen = planning.diverse_k(best, ["phase", "task_id"], "source_family", planning.plan_order(), max_per_task_per_phase)
     chosen = chosen.withColumns(
         {
@@ -120,6 +146,7 @@ def plan(spark: SparkSession, token_catalog: str, content_quality_catalog: str,
             "requires_path_normalization": F.coalesce(F.col("nonportable_path_occurrences") > 0, F.lit(False)),
         }
     )
+    chosen = work_table(chosen, "plan")
     sinks.write_jsonl(chosen, output, ["phase", "split", "task_id", *planning.plan_order()])
     summary = {
         "candidates": rows.count(),
@@ -131,6 +158,7 @@ def plan(spark: SparkSession, token_catalog: str, content_quality_catalog: str,
         "by_family": sinks.nested_counts(chosen, ["source_family"]),
     }
     sinks.write_summary(spark, summary_output, summary)
+    release(spark)
     return summary
 
 
@@ -142,7 +170,7 @@ def materialize_plan_sets(spark: SparkSession, plan: str, data_dir: str, output_
     rows = ingest.require_unique(rows_of(spark, plan, PLAN), PLACE)
     found = rows.join(records(spark, data_dir).select(*PLACE, "messages"), PLACE)
     ingest.require_complete(rows, found, PLACE)
-    done = convert.convert(found)
+    done = work_table(convert.convert(found).drop("messages"), "converted")
     if bad := done.filter("error IS NOT NULL").select(*PLACE, "error").limit(10).collect():
         raise ValueError(f"records that can't be converted: {[tuple(r) for r in bad]}")
     sets = done.select(output_group(F.col("phase"), F.col("split"), F.col("quality_tier")).alias("set"), F.lit(convert.tool_schema()).alias("tools"), F.col("converted").alias("messages"))
@@ -150,6 +178,7 @@ def materialize_plan_sets(spark: SparkSession, plan: str, data_dir: str, output_
     files = [r.asDict() for r in sinks.checksums(spark, output_dir).filter("file LIKE 'part%'").orderBy("file").collect()]
     summary = {"records": rows.count(), "sets": counts, "files": files}
     sinks.write_summary(spark, summary_output, summary)
+    release(spark)
     return summary
 
 
@@ -165,38 +194,49 @@ def select_longest(spark: SparkSession, plan: str, output: str, summary_output:
 
 def rejudge(spark: SparkSession, plan: str, data_dir: str, manifests_dir: str, output: str, summary_output: str, phase: str = "core_8k") -> dict:
     """Evidence decisions for the plan rows of a phase."""
-    rows = ingest.require_unique(rows_of(spark, plan, PLAN).filter(F.col("phase") == phase), PLACE)
+    # the plan's own order, which the decisions keep
+    rows = ingest.require_unique(work_table(rows_of(spark, plan, PLAN).withColumn("plan_order", F.monotonically_increasing_id()).filter(F.col("phase") == phase), "planned"), PLACE)
     m = manifest_rows(spark, manifests_dir).withColumnsRenamed({"v": "version"})
     m = m.withColumn("fingerprint", review.manifest_fingerprint())
     m = ingest.first_of_key(m, ["version", "task_id"], "fingerprint", ["file", "line"])
     gold, kind = review.gold_answer(F.col("gold_answer"))
     m = m.select("version", "task_id", "conflict", F.lit(True).alias("present"), gold.alias("gold"), kind.alias("answer_type"), "instruction", F.col("type").alias("m_type"), review.expected(F.col("citation.doc_id"), [F.col("source_documents")]).alias("documents"), review.expected(None, [F.col("expected_tables"), F.col("verification_criteria.must_query_tables")]).alias("tables"))
     found = rows.join(records(spark, data_dir).select(*PLACE, "messages"), PLACE)
-    ingest.require_complete(rows, found, PLACE)
+    ingest.require_complete(rows, found.select(*PLACE), PLACE)
     none = F.array().cast("array<string>")
     found = found.join(m, ["version", "task_id"], "left").withColumns({"conflict": F.coalesce("conflict", F.lit(False)), "present": F.coalesce("present", F.lit(False)), "documents": F.coalesce("documents", none), "tables": F.coalesce("tables", none), "type": review.task_type(F.col("type"), F.col("m_type"))})
     decided = review.with_evidence(found).withColumn("d", review.decide(*review.evidence_rules()))
-    out = decided.select(*PLACE, "source_family", "version", "task_id", "type", "phase", "split", "input_tokens", "quality_tier", "d.*", "evidence")
-    sinks.write_jsonl(out, output, PLACE, expected=rows.count())
-    summary = {"records": rows.count(), "by_status": sinks.nested_counts(out, ["status", "split"]), "by_reason": sinks.nested_counts(out, ["status", "reason"])}
+    scores = F.when(F.col("evidence").isNotNull(), F.struct(F.length("answer").alias("final_answer_chars"), F.size("documents").alias("expected_documents"), F.size("tables").alias("expected_tables"), "tables_accessed", "evidence.*"))
+    out = work_table(decided.select("plan_order", *PLACE, "source_family", "version", "task_id", "type", "phase", "split", "input_tokens", "quality_tier", "d.*", scores.alias("evidence")), "decisions")
+    lines = out.orderBy("plan_order").drop("plan_order")
+    sinks.write_jsonl(lines, output, expected=rows.count())
+    summary = {"records": rows.count(), "by_status": sinks.nested_counts(out, ["status", "split"]), "by_reason": sinks.nested_counts(out, ["status", "reason"]), "by_type": sinks.nested_counts(out, ["type", "status"]), "unique_task_ids": out.select("task_id").distinct().count()}
     sinks.write_summary(spark, summary_output, summary)
+    release(spark)
     return summary
 
 
 def audit_trajectories(spark: SparkSession, input: str, max_records_per_file: int = 0) -> dict:
     """Counts of lines, keys, roles, argument keys and call pairing; never any text."""
     rows = jsonl.parsed(jsonl.first_lines(jsonl.read_lines(spark, input), max_records_per_file))
-    talks = jsonl.conversations(rows)
-    trips = audit.round_trips(talks.withColumn("id", F.concat_ws(":", "file", F.col("line").cast("string"))), "id")
-    return {
-        "lines": sinks.nested_counts(rows, ["file", "status"]),
-        "keys": {r["key"]: r["objects"] for r in jsonl.key_profile(rows).collect()},
-        "roles": {str(r["role"]): r["messages"] for r in audit.role_profile(talks).collect()},
-        "content_types": sinks.nested_counts(audit.exploded_messages(talks), ["role", "content_type"]),
-        "arguments": sinks.nested_counts(talks.select(F.explode(C.tool_calls(F.col("messages"))).alias("c")).select("c.name", F.explode_outer(F.json_object_keys("c.arguments")).alias("key")), ["name", "key"]),
-        "final_roles": sinks.nested_counts(talks.select(C.last_role(F.col("messages")).alias("role")), ["role"]),
-        "pairing": trips.agg(*(F.sum(c).alias(c) for c in ("calls", "responses", "unknown", "repeated", "unanswered"))).first().asDict(),
+    lines = work_table(rows.select("file", "status", F.when(F.col("status") == "object", F.json_object_keys("value")).alias("keys")), "lines")
+    m = F.col("messages")
+    talks = jsonl.conversations(rows).withColumns(
+        {"fields": audit.message_fields(m), "kinds": F.transform(m, lambda x: F.struct(x["role"].alias("role"), x["content_type"].alias("content_type"))), "used": audit.keys_used(), "last_role": C.last_role(m)}
+    )
+    # every count comes from these narrow facts, so the files are parsed twice at most
+    facts = work_table(audit.round_trips(talks, "fields", "kinds", "used", "last_role"), "facts")
+    report = {
+        "lines": sinks.nested_counts(lines, ["file", "status"]),
+        "keys": {r["key"]: r["n"] for r in lines.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()},
+        "roles": {str(r["role"]): r["messages"] for r in audit.role_profile_of(facts).collect()},
+        "content_types": sinks.nested_counts(facts.select(F.inline("kinds")), ["role", "content_type"]),
+        "arguments": sinks.nested_counts(facts.select(F.inline("used")).select("name", F.explode_outer("keys").alias("key")), ["name", "key"]),
+        "final_roles": sinks.nested_counts(facts, ["last_role"]),
+        "pairing": facts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("calls", "responses", "unknown", "repeated", "unanswered"))).first().asDict(),
     }
+    release(spark)
+    return report
 
 
 def audit_verdicts(spark: SparkSession, input: str) -> dict:
