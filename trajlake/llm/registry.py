@@ -218,7 +218,9 @@ def p1_found(spark, folder):
 
 def _links(spark, folder):
     rows, seqs = _sequences(spark, folder)
-    links = overlap.class_links(overlap.similar_classes(seqs), overlap.members(seqs))
+    frequent = overlap.frequent_prints(seqs, "record_id")
+    shared = overlap.shared_prints(seqs, frequent=frequent)
+    links = overlap.class_links(overlap.similar_classes(seqs, shared), overlap.members(seqs), overlap.containment(seqs, shared, frequent))
     return links.join(rows.select("record_id", "split", "family"), "record_id")
 
 
@@ -235,5 +237,6 @@ def p1_report(spark, folder):
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("links") > 0).alias("overlapping"),
         F.sum("links").alias("links"),
+        F.count_if((F.col("links") == 0) & (F.col("coverage") >= 0.5)).alias("half_covered"),
         F.round(F.avg("coverage"), 6).alias("mean_coverage"),
     )
