@@ -144,6 +144,12 @@ def test_folded_text_and_numbers():
     assert text.numbers_in(None) == set()
     assert text.coverage("", "x") == 0.0 and text.coverage("ab", "xaby") == 1.0
     assert text.support("短。这是一个很长的说法", "这是一个很长的说法") == 1.0
+    # by the definition: sets of bigrams
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(12))) for _ in range(2))
+        grams = lambda t: {t[i : i + 2] for i in range(max(1, len(t) - 1))}
+        assert text.coverage(a, b) == (0.0 if not a or not b else 1.0 if a in b else round(len(grams(a) & grams(b)) / len(grams(a)), 6))
 
 
 def test_bigram_coverage_matches_python(spark):

@@ -326,3 +326,15 @@ def test_ranks_by_ranges_equal_ranks_in_one_task(spark, one_task):
     whole = stats.nearest_rank(df, [], ["x"], [0.5], one_task).first()
     assert whole["x_p50"] == brute_rank([r[1] for r in rows if r[1] is not None], 0.5)
     assert stats.nearest_rank(df.filter("false"), ["g"], ["x"], [0.5], one_task).count() == 0
+
+
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_numbers_by_ranges(spark, one_task):
+    rng = random.Random(12)
+    rows = [(rng.choice(["v", "v", "v", "w", None]), rng.choice("abcdefgh"), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, k string, i bigint").repartition(6)
+    got = {r["i"]: r["ordinal"] for r in identity.numbered(df, "g", ["k", "i"], one_task).collect()}
+    for g in ("v", "w", None):
+        mine = sorted((k, i) for x, k, i in rows if x == g)
+        assert [got[i] for _, i in mine] == list(range(1, len(mine) + 1))
+    assert identity.numbered(df.filter("false"), "g", ["k"], one_task).count() == 0

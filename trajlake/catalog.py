@@ -308,7 +308,7 @@ def materialize_correct(spark: SparkSession, data_dir: str, manifests_dir: str,
 NEAREST = CALIBRATED + ", version string, task_id string, quality_tier string, token_method string"
 
 
-def benchmark_samples(spark: SparkSession, catalog: str, data_dir: str, output_dir: str, targets: str = "4096,8192,16384,32768") -> dict:
+def benchmark_samples(spark: SparkSession, catalog: str, data_dir: str, output_dir: str, targets: str = "24576") -> dict:
     """The training row of the catalogued record nearest to each target, of exactly counted records if there are any."""
     rows = rows_of(spark, catalog, NEAREST)
     exact = rows.filter("token_method = 'exact_reused'")

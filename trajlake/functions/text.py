@@ -23,9 +23,12 @@ CLAIM_END = re.compile(r"[。！？；\n]+")
 LEAST_CLAIM = 8
 
 
+_OTHER = re.compile(r"[\W_]+")
+
+
 def folded(text: str | None) -> str:
     """NFKC, lower case, letters and digits only; null: empty."""
-    return "".join(filter(str.isalnum, unicodedata.normalize("NFKC", text or "").lower()))
+    return _OTHER.sub("", unicodedata.normalize("NFKC", text or "").lower())
 
 
 def numbers_in(text: str | None) -> set[str]:
@@ -38,32 +41,26 @@ def numbers_in(text: str | None) -> set[str]:
     return out
 
 
-def pairs_of(text: str) -> set[str]:
-    """Character bigrams; a single character stands for itself."""
-    return {text[i : i + 2] for i in range(max(1, len(text) - 1))} if text else set()
-
-
-def coverage(claim: str, evidence: str, evidence_pairs: set[str] | None = None) -> float:
-    """Share of the claim's bigrams in the evidence, both folded: 1 if contained, 0 if either is empty."""
+def coverage(claim: str, evidence: str) -> float:
+    """Share of the claim's distinct bigrams (a single character stands for itself) that stand in the evidence,
+    both folded: 1 if it is contained, 0 if either is empty."""
     if not claim or not evidence:
         return 0.0
     if claim in evidence:
         return 1.0
-    mine = pairs_of(claim)
-    return round(len(mine & (pairs_of(evidence) if evidence_pairs is None else evidence_pairs)) / len(mine), 6)
+    # a claim is short: its bigrams are looked for, instead of listing those of the evidence
+    pairs = {a + b for a, b in zip(claim, claim[1:])} or {claim}
+    return round(sum(p in evidence for p in pairs) / len(pairs), 6)
 
 
-def support(answer: str, evidence: str) -> float:
-    """Coverage of the answer's claims, weighted by their length; of the whole answer if no claim is long enough."""
-    known = folded(evidence)
-    pairs = pairs_of(known)
+def support(answer: str, known: str) -> float:
+    """Coverage of the answer's claims by folded evidence, weighted by their length; of the whole answer if no claim is long enough."""
     claims = [c for c in map(folded, CLAIM_END.split(ITEM_PREFIX.sub("", answer))) if len(c) >= LEAST_CLAIM]
     if not claims:
-        return coverage(folded(answer), known, pairs)
+        return coverage(folded(answer), known)
     # in whole millionths, so that the order of the claims can't change the last digit
-    size = sum(map(len, claims))
-    millionths = sum(round(coverage(c, known, pairs) * 1e6) * len(c) for c in claims)
-    return round(Fraction(millionths, size)) / 1e6
+    millionths = sum(round(coverage(c, known) * 1e6) * len(c) for c in claims)
+    return round(Fraction(millionths, sum(map(len, claims)))) / 1e6
 
 
 @F.pandas_udf(T.StringType())
@@ -98,8 +95,9 @@ def _evidence(answer: pd.Series, responses: pd.Series, calls: pd.Series, gold: p
     for a, r, c, g, i, d in zip(answer, responses, calls, gold, instruction, documents):
         a, r, c, g = a or "", r or "", c or "", g or ""
         wanted, given = numbers_in(g), numbers_in(a)
-        seen = folded(f"{r}\n{c}")
-        rows.append((support(a, r), coverage(folded(g), folded(a)), len(wanted), wanted <= given, len(given - numbers_in(f"{r}\n{c}\n{i or ''}")), sum(folded(x) in seen for x in (() if d is None else d))))
+        heard = folded(r)
+        seen = heard + folded(c) if d is not None and len(d) else ""
+        rows.append((support(a, heard), coverage(folded(g), folded(a)), len(wanted), wanted <= given, len(given - numbers_in(f"{r}\n{c}\n{i or ''}")) if given else 0, sum(folded(x) in seen for x in (() if d is None else d))))
     return pd.DataFrame(rows, columns=EVIDENCE.names)
 
 

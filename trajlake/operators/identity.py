@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajlake.functions.labels import cases
+from trajlake.session import work_table
+
+from .stats import join_on_nullable
 
 
 def manifest_index(manifest: DataFrame, instruction: Column, output: Column, order: list[str]) -> DataFrame:
@@ -16,8 +19,28 @@ def manifest_index(manifest: DataFrame, instruction: Column, output: Column, ord
     """
     rows = manifest.select(F.col("v").alias("version"), F.col("task_id").alias("task"), instruction.alias("text"), F.regexp_extract(output, r"([^/]+)/*$", 1).alias("source"), *order)
     rows = rows.withColumn("source", F.when(F.col("source") != "", F.col("source"))).filter("text IS NOT NULL AND task IS NOT NULL")
-    key = F.coalesce("source", "task")
-    return rows.withColumn("ordinal", F.row_number().over(Window.partitionBy("version").orderBy(key, *order))).drop(*order)
+    return numbered(rows.withColumn("_key", F.coalesce("source", "task")), "version", ["_key", *order]).drop("_key", *order)
+
+
+#: Rows that one task may number; more are numbered by ranges.
+ONE_TASK = 1_000_000
+
+
+def numbered(rows: DataFrame, group: str, order: list[str], one_task: int = ONE_TASK) -> DataFrame:
+    """rows with ordinal, their 1-based place in their group by order (columns), without a task that gets a whole large group.
+
+    Many rows are sorted into ranges over the cluster; a row's place is its place in its range plus the
+    rows of the group in the ranges before, of which there is one count for each range and group.
+    """
+    rows = work_table(rows, "to_number")
+    if rows.count() <= one_task:
+        return rows.withColumn("ordinal", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    ranges = work_table(rows.repartitionByRange(group, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_range")) - F.col("_n")
+    inside = F.row_number().over(Window.partitionBy(group, "_range").orderBy(*order))
+    placed = join_on_nullable(ranges.withColumn("_inside", inside), counts.select(group, "_range", before.alias("_before")), [group, "_range"])
+    return placed.withColumn("ordinal", (F.col("_inside") + F.col("_before")).cast("int")).drop("_range", "_inside", "_before")
 
 
 def _unique(index: DataFrame, column: str, name: str) -> DataFrame:

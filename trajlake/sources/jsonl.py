@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trajlake.functions.calls import is_nothing, variant_text
+from trajlake.functions.calls import is_nothing, json_value, variant_text
 from trajlake.functions.labels import variant_type
 
 VERSION = r"_(\d{8}_v\d+)_openai\.jsonl$"
@@ -59,8 +59,8 @@ def file_version(name: Column, strict: bool = True) -> Column:
 
 
 def parsed(lines: DataFrame) -> DataFrame:
-    """lines with doc (VARIANT) and status: object, not_object or invalid. Text after a first value is ignored."""
-    rows = lines.withColumn("doc", F.try_parse_json("value"))
+    """lines with doc (VARIANT) and status: object, not_object or invalid (no JSON, or more than one value)."""
+    rows = lines.withColumn("doc", json_value(F.col("value")))
     kind = variant_type(F.col("doc"))
     return rows.withColumn("status", F.when(F.col("doc").isNull(), "invalid").when(kind == "object", "object").otherwise("not_object"))
 
