@@ -64,7 +64,7 @@ def test_bad_scores_come_last(spark):
     df = spark.createDataFrame([(1, None), (2, float("nan")), (3, 0.0), (4, -1.0), (5, 0.1)], "id bigint, s double")
     assert [r["id"] for r in cap.keep_per_contributor(df.withColumn("w", F.lit(1)), ["w"], 1, "id", F.lit(0), cap.log_of(F.col("s"))).collect()] == [5]
     assert cap.keep_per_contributor(df.filter("false").withColumn("w", F.lit(1)), ["w"], 1, "id", F.lit(0)).count() == 0
-    assert cap.share_cap(df, ["w"], 0.4) == 2
+    assert cap.share_cap(df, 0.4) == 2 and cap.share_cap(df, 0.0) == 1
     with pytest.raises(ValueError):
         cap.keep_per_contributor(df, ["id"], -1, "id", F.lit(0))
 

@@ -175,3 +175,20 @@ def test_repeated_keys_and_clashing_names(spark):
     rows = pieces.split(df, 64, 8).collect()
     one = len(pieces.split(df.filter("ids = 'x'"), 64, 8).collect())
     assert len(rows) == 3 * one and sum(r["doc_id"] is None for r in rows) == one
+
+
+def test_violations_are_told(spark):
+    text = "some words and more. " * 60
+    df = documents(spark, [text, "short"])
+    good, sizes = pieces.split(df, 64, 8), encode.token_counts(df)
+    assert pieces.violated(good, sizes, 64, 8).count() == 0
+    wrong = {
+        "size": (good, sizes, 63, 8),
+        "overlap": (good, sizes, 64, 12),
+        "end": (good.filter("boundary <> 'end'"), sizes, 64, 8),
+        "number": (good.filter("piece <> 1"), sizes, 64, 8),
+        "text without pieces": (good.filter("false"), sizes, 64, 8),
+        "text within the limit": (good, sizes, 1000, 8),
+    }
+    for fault, given in wrong.items():
+        assert fault in {r["fault"] for r in pieces.violated(*given).collect()}

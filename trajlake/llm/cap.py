@@ -60,8 +60,8 @@ def keep_per_contributor(df: DataFrame, contributor: list[str], cap: int, key: s
     return rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= cap).select(*contributor, key)
 
 
-def share_cap(df: DataFrame, contributor: list[str], share: float) -> int:
-    """The cap that limits a contributor to a share of the records; one number comes to the driver."""
+def share_cap(df: DataFrame, share: float) -> int:
+    """The cap that limits a contributor to a share of the records, at least 1; one number comes to the driver."""
     return max(1, int(df.count() * share))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .encode import CHUNK_CHARS
@@ -158,3 +158,30 @@ def split(df: DataFrame, limit: int, overlap: int, key: str = "doc_id", text: st
 def oversized(pieces: DataFrame, key: str = "doc_id") -> DataFrame:
     """The texts that were split: those of which there is a second piece."""
     return pieces.filter(F.col("piece") == 1).select(key)
+
+
+def violated(pieces: DataFrame, sizes: DataFrame, limit: int, overlap: int, key: str = "doc_id") -> DataFrame:
+    """key, piece and fault of what breaks a rule: none, if split works. sizes: key (unique) and n_tokens of every text.
+
+    A text above the limit has pieces from 0 on, each within the limit and beginning `overlap` to
+    `overlap` + INSIDE tokens before the end of the one before, the last one ending the text; texts within it have none.
+    """
+    w = Window.partitionBy(key).orderBy("piece")
+    end = F.col("begin_token") + F.col("n_tokens")
+    rows = pieces.select(key, "piece", "begin_token", "n_tokens", "boundary", F.size("ids").alias("n_ids"), end.alias("end"))
+    rows = rows.withColumns({"before": F.lag("end").over(w), "place": F.row_number().over(w) - 1, "last": F.max("piece").over(Window.partitionBy(key)) == F.col("piece")})
+    rows = rows.join(sizes.filter(F.col("n_tokens") > limit).select(key, F.col("n_tokens").alias("whole")), key, "full_outer")
+    back = F.col("before") - F.col("begin_token")
+    faults = [
+        (F.col("whole").isNull(), "text within the limit"),
+        (F.col("piece").isNull(), "text without pieces"),
+        (F.col("piece") != F.col("place"), "number"),
+        ((F.col("n_tokens") > limit) | (F.col("n_tokens") < 1) | (F.col("n_ids") != F.col("n_tokens")), "size"),
+        (F.col("before").isNull() & (F.col("begin_token") != 0), "beginning"),
+        ((back > overlap + INSIDE) | ((back < overlap) & (F.col("begin_token") > 0)), "overlap"),
+        (F.col("last") & ((F.col("end") != F.col("whole")) | (F.col("boundary") != "end")), "end"),
+    ]
+    fault = F.lit(None).cast("string")
+    for wrong, name in reversed(faults):
+        fault = F.when(wrong, name).otherwise(fault)
+    return rows.select(key, F.col("piece").cast("bigint").alias("piece"), fault.alias("fault")).filter("fault IS NOT NULL")

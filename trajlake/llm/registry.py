@@ -27,6 +27,12 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+def none(columns: str) -> str:
+    """SQL of no row: what a query of broken rules must give."""
+    named = [c.split() for c in columns.split(", ")]
+    return "SELECT " + ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in named) + " WHERE false"
+
+
 @query("p6_ids")
 def p6_ids(spark, folder):
     """Ids of every document by byte_bpe_50k."""
@@ -78,7 +84,7 @@ def p7_containers(spark, folder):
     return _packed(spark, folder)[0]
 
 
-@query("p7_violated")
+@query("p7_violated", none("container_id BIGINT, tokens BIGINT, parts BIGINT, cost DOUBLE"))
 def p7_violated(spark, folder):
     """Containers that break a constraint; none."""
     return pack.violated(*_packed(spark, folder))
@@ -107,7 +113,16 @@ def p8_pieces(spark, folder):
     return _pieces(spark, folder)
 
 
+@query("p8_violated", none("doc_id BIGINT, piece BIGINT, fault VARCHAR"))
+def p8_violated(spark, folder):
+    """Pieces that break a rule (limit, overlap, order, end of the text); none."""
+    limit, docs = _limit(spark, folder, "piece"), table(spark, folder, "documents")
+    return pieces.violated(_pieces(spark, folder), encode.token_counts(docs), limit["max_tokens"], limit["overlap_tokens"])
+
+
 CAP = 3
+#: Of all planned records, the share that one contributor may hold in p4_share.
+SHARE = 0.002
 
 P4_SQL = f"""WITH {plan_table.PLANNED_SQL},
 ranked AS (SELECT record_id, row_number() OVER (PARTITION BY task, family ORDER BY coalesce(tier_rank, 1000000), record_id) AS n
@@ -115,7 +130,7 @@ ranked AS (SELECT record_id, row_number() OVER (PARTITION BY task, family ORDER
 """
 
 
-def _capped(spark, folder, draw):
+def _capped(spark, folder, draw, most=CAP):
     rows = plan_table.planned(table(spark, folder, "dataset_plan"))
     # a fixed table of four rows
     order = table(spark, folder, "tier_order").groupBy(keys.tier_key(F.col("quality_tier")).alias("tier")).agg(F.min("tier_rank").alias("tier_rank"))
@@ -123,9 +138,9 @@ def _capped(spark, folder, draw):
     tier = F.coalesce("tier_rank", F.lit(1_000_000))
     # by tier, then by the smaller record_id: scores too far apart for the draw to change their order
     if draw == "sure":
-        return rows, cap.keep_per_contributor(rows, ["task", "family"], CAP, "record_id", tier, cap.sure_order(F.col("record_id")))
+        return rows, cap.keep_per_contributor(rows, ["task", "family"], most, "record_id", tier, cap.sure_order(F.col("record_id")))
     # a draw over all tiers: each tier weighs half of the tier before it
-    return rows, cap.keep_per_contributor(rows, ["task", "family"], CAP, "record_id", F.lit(0), F.least(tier, F.lit(20)) * F.log(F.lit(0.5)))
+    return rows, cap.keep_per_contributor(rows, ["task", "family"], most, "record_id", F.lit(0), F.least(tier, F.lit(20)) * F.log(F.lit(0.5)))
 
 
 @query("p4_found", P4_SQL + f"SELECT record_id FROM ranked WHERE n > {CAP}")
@@ -140,6 +155,13 @@ def p4_plan(spark, folder):
     return _capped(spark, folder, "sure")[1]
 
 
+@query("p4_share", P4_SQL + f"SELECT task, family, record_id FROM planned WHERE record_id IN (SELECT record_id FROM ranked WHERE n <= (SELECT greatest(1, floor(count(*) * {SHARE})) FROM planned))")
+def p4_share(spark, folder):
+    """A plan in which no contributor holds more than SHARE of the records there were."""
+    rows = plan_table.planned(table(spark, folder, "dataset_plan"))
+    return _capped(spark, folder, "sure", cap.share_cap(rows, SHARE))[1]
+
+
 @query("p4_sample")
 def p4_sample(spark, folder):
     """A capped plan by weighted draw: better tiers stay more often, but none always."""
@@ -183,6 +205,16 @@ def p5_balance(spark, folder):
     return counts.withColumn("share", F.round(F.col("records") / F.sum("records").over(Window.partitionBy("family", "type")), 6))
 
 
+@query("p5_violated", none("task VARCHAR, fault VARCHAR"))
+def p5_violated(spark, folder):
+    """Tasks in more than one new split, or with a record that has none; none."""
+    rows, chosen = _regrouped(spark, folder)
+    tasks = rows.join(chosen, "record_id", "left").groupBy("task").agg(F.min("new_split").alias("lo"), F.max("new_split").alias("hi"), F.count_if(F.col("new_split").isNull()).alias("without"))
+    # records without a task are groups of their own
+    fault = F.when(F.col("without") > 0, "record without split").when(F.col("task").isNotNull() & (F.col("lo") < F.col("hi")), "several splits")
+    return tasks.select("task", fault.alias("fault")).filter("fault IS NOT NULL")
+
+
 def _repeat_items(spark, folder):
     yield repeats.trajectory_items(table(spark, folder, "trajectories")), repeats.TRAJECTORIES
     yield repeats.document_items(table(spark, folder, "documents")), repeats.DOCUMENTS
