@@ -183,7 +183,7 @@ def test_violations_are_told(spark):
     good, sizes = pieces.split(df, 64, 8), encode.token_counts(df)
     assert pieces.violated(good, sizes, 64, 8).count() == 0
     wrong = {
-        "size": (good, sizes, 63, 8),
+        "size": (good, sizes, 40, 8),
         "overlap": (good, sizes, 64, 12),
         "end": (good.filter("boundary <> 'end'"), sizes, 64, 8),
         "number": (good.filter("piece <> 1"), sizes, 64, 8),
