@@ -22,7 +22,8 @@ IDEOGRAPH_LETTERS = "々〆ぁ-ゖゝ-ゟァ-ヺー-ヿㇰ-ㇿ㐀-䶿一-鿿豈-
 _LETTERS = re.compile(f"[{IDEOGRAPH_LETTERS}]|[^\\W\\d_{IDEOGRAPHS}]+")
 _IDEOGRAPH_RUNS = re.compile(f"[{IDEOGRAPHS}]+")
 _WORDS = re.compile(f"[{IDEOGRAPHS}]|[^\\W_{IDEOGRAPHS}]+")
-_FOLDERS = re.compile(r"(?:[A-Za-z]:)?[A-Za-z0-9_.~\-]*[/\\](?:[A-Za-z0-9_.~\-]+[/\\])*(?=[A-Za-z0-9_.~\-])")
+# a path begins at a drive or where its first name begins, so no word is tried again from its middle
+_FOLDERS = re.compile(r"(?:[A-Za-z]:|(?<![A-Za-z0-9_.~\-]))[A-Za-z0-9_.~\-]*[/\\](?:[A-Za-z0-9_.~\-]+[/\\])*(?=[A-Za-z0-9_.~\-])")
 
 
 class Hashes:
@@ -43,7 +44,7 @@ class Hashes:
         for u in set(units):
             if u not in memo:
                 h = xxhash.xxh3_64_intdigest(u) >> 1
-                memo[u] = (h | 1) if one(u) else (h & ~1)
+                memo[u] = (h | 1) if len(u) == 1 and one(u) else (h & ~1)
         return np.array([memo[u] for u in units], np.int64)
 
 
@@ -66,7 +67,7 @@ def letter_units(text: str) -> tuple[np.ndarray, bool]:
 
 def word_units(text: str) -> np.ndarray:
     """Words and numbers without punctuation, case, width and the folders in front of file names; ideographs one by one."""
-    plain = unicodedata.normalize("NFKC", text).lower()
+    plain = text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).lower()
     if "/" in plain or "\\" in plain:
         plain = _FOLDERS.sub("", plain)
     return hashes().of(_WORDS.findall(plain))
