@@ -64,7 +64,7 @@ def aligned(spark: SparkSession, data_dir: str, files: DataFrame) -> DataFrame:
 
 def candidates(rows: DataFrame) -> DataFrame:
     """Aligned records with status (the first gate that isn't passed, or 'candidate'), problem, conversion and converted, as a work table."""
-    rows = convert.convert(rows).withColumn("calls", C.tool_calls(F.col("messages")))
+    rows = convert.convert(rows, keep_calls=True)
     last = F.try_element_at("converted", F.lit(-1))["role"]
     tools = C.tools_status(F.col("calls"))
     gates = [
@@ -238,7 +238,7 @@ def estimate_tokens(spark: SparkSession, data_dir: str, manifests_dir: str, verd
 
 def recheck(found: DataFrame) -> DataFrame:
     """Converted records, if each converts, ends with the assistant, calls tools and calls them canonically; else ValueError."""
-    done = convert.convert(found).withColumn("tools_status", C.tools_status(C.tool_calls(F.col("messages"))))
+    done = convert.convert(found, keep_calls=True).withColumn("tools_status", C.tools_status(F.col("calls"))).drop("calls")
     gates = [
         (F.col("error").isNull(), "conversion_error"),
         (F.try_element_at("converted", F.lit(-1))["role"] == "assistant", "lost_final_answer"),

@@ -39,14 +39,19 @@ def of_role(messages: Column, role: str) -> Column:
     return F.filter(messages, lambda m: m["role"] == role)
 
 
+def let(value: Column, then) -> Column:
+    """then(value) with the value computed once; inside of lambdas Spark would compute it wherever it stands."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def json_value(c: Column) -> Column:
     """The one JSON value of a text as VARIANT; null for text that isn't JSON, or is more than one value.
 
     Values above the size limit of VARIANT, and objects that name a key twice, are null, too.
     """
     # a single value stands alone in an array as well; text after it would not
-    alone = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
-    return F.when(F.size(F.try_variant_get(alone, "$", "array<variant>")) == 1, F.try_variant_get(alone, "$[0]", "variant"))
+    alone = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
+    return let(alone, lambda a: F.when(F.size(a) == 1, F.get(a, F.lit(0))))
 
 
 def is_nothing(v: Column) -> Column:
@@ -62,9 +67,10 @@ def variant_text(v: Column, path: str) -> Column:
 
 def no_call_list(m: Column) -> Column:
     """Whether an assistant's tool_calls are given, but no JSON array."""
-    v = F.try_parse_json(m["tool_calls"])
-    given = m["tool_calls"].isNotNull() & (F.trim(m["tool_calls"]) != "") & (v.isNull() | ~is_nothing(v))
-    return (m["role"] == "assistant") & given & ~F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    given = (m["role"] == "assistant") & m["tool_calls"].isNotNull() & (F.trim(m["tool_calls"]) != "")
+    is_list = lambda v: F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    wrong = let(F.try_parse_json(m["tool_calls"]), lambda v: ~is_list(v) & (v.isNull() | ~is_nothing(v)))
+    return F.when(given, wrong).otherwise(F.lit(False))
 
 
 def tool_calls(messages: Column) -> Column:
@@ -80,21 +86,21 @@ def tool_calls(messages: Column) -> Column:
         parsed = F.when(m["role"] == "assistant", F.try_variant_get(F.try_parse_json(m["tool_calls"]), "$", "array<variant>"))
 
         def one(c, j):
-            function = F.try_variant_get(c, "$.function", "variant")
-            name = F.try_variant_get(function, "$.name", "variant")
-            arguments = F.try_variant_get(function, "$.arguments", "variant")
-            is_null = F.coalesce(F.is_variant_null(arguments), F.lit(False))
-            has_function = F.coalesce(F.schema_of_variant(function).startswith("OBJECT"), F.lit(False))
-            return F.struct(
-                i.alias("message"),
-                j.alias("call"),
-                variant_text(c, "$.id").alias("id"),
-                F.try_variant_get(function, "$.name", "string").alias("name"),
-                F.when(~is_null, F.coalesce(variant_text(function, "$.arguments"), F.to_json(arguments))).alias("arguments"),
-                has_function.alias("has_function"),
-                F.coalesce((F.schema_of_variant(name) == "STRING") & (F.try_variant_get(function, "$.name", "string") != ""), F.lit(False)).alias("has_name"),
-                is_null.alias("null_arguments"),
-            )
+            def parts(f, a):
+                is_null = F.coalesce(F.is_variant_null(a), F.lit(False))
+                name = F.try_variant_get(f, "$.name", "string")
+                return F.struct(
+                    i.alias("message"),
+                    j.alias("call"),
+                    variant_text(c, "$.id").alias("id"),
+                    name.alias("name"),
+                    F.when(~is_null, F.when(F.schema_of_variant(a) == "STRING", F.try_variant_get(a, "$", "string")).otherwise(F.to_json(a))).alias("arguments"),
+                    F.coalesce(F.schema_of_variant(f).startswith("OBJECT"), F.lit(False)).alias("has_function"),
+                    F.coalesce((F.schema_of_variant(F.try_variant_get(f, "$.name", "variant")) == "STRING") & (name != ""), F.lit(False)).alias("has_name"),
+                    is_null.alias("null_arguments"),
+                )
+
+            return let(F.try_variant_get(c, "$.function", "variant"), lambda f: let(F.try_variant_get(f, "$.arguments", "variant"), lambda a: parts(f, a)))
 
         return F.transform(F.coalesce(parsed, F.array().cast("array<variant>")), one)
 
@@ -195,26 +201,24 @@ def _whole_from(v: Column, name: str, least: int) -> Column:
 
 def call_problem(name: Column, arguments: Column) -> Column:
     """Why a call isn't canonical, null if it is; arguments as JSON text."""
-    v = json_value(arguments)
-    keys = F.coalesce(F.json_object_keys(F.to_json(v)), F.array().cast("array<string>"))
-    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     of = lambda table: F.coalesce(*(F.when(name == t, F.array(*map(F.lit, table[t]))) for t in TOOLS))
-    edits = F.try_variant_get(v, "$.edits", "array<variant>")
     whole_edit = lambda e: _is_text(e, "oldText") & _is_text(e, "newText") & (F.size(F.json_object_keys(F.to_json(e))) == 2)
-    batch = F.coalesce((F.size(edits) > 0) & F.forall(edits, whole_edit), F.lit(False))
-    valid = (
+    batch = lambda v: let(F.try_variant_get(v, "$.edits", "array<variant>"), lambda e: F.coalesce((F.size(e) > 0) & F.forall(e, whole_edit), F.lit(False)))
+    valid = lambda v: (
         F.when(name == "bash", _is_text(v, "command") & _whole_from(v, "timeout", 1))
         .when(name == "read", _is_text(v, "path") & _whole_from(v, "offset", 0) & _whole_from(v, "limit", 1))
         .when(name == "write", _is_text(v, "path") & _is_text(v, "content"))
-        .otherwise(_is_text(v, "path") & ((_is_text(v, "oldText") & _is_text(v, "newText")) | batch))
+        .otherwise(_is_text(v, "path") & ((_is_text(v, "oldText") & _is_text(v, "newText")) | batch(v)))
     )
-    return (
-        F.when(~F.coalesce(name.isin(*TOOLS), F.lit(False)), "noncanonical_tool_name")
-        .when(~is_object, "non_object_arguments")
+    problem = lambda v, keys: (
+        F.when(~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)), "non_object_arguments")
         .when(F.size(F.array_except(of(REQUIRED), keys)) > 0, "missing_required_argument")
         .when(F.size(F.array_except(keys, of(ALLOWED))) > 0, "noncanonical_argument_key")
-        .when(~valid, "invalid_argument_value")
+        .when(~valid(v), "invalid_argument_value")
     )
+    keys_of = lambda v: F.coalesce(F.json_object_keys(F.to_json(v)), F.array().cast("array<string>"))
+    known = let(json_value(arguments), lambda v: let(keys_of(v), lambda keys: problem(v, keys)))
+    return F.when(F.coalesce(name.isin(*TOOLS), F.lit(False)), known).otherwise("noncanonical_tool_name")
 
 
 def tools_status(calls: Column) -> Column:

@@ -71,14 +71,16 @@ def _errors(messages: Column, calls: Column, reasoning_type: bool) -> Column:
         )
 
     def of_call(c, k):
-        arguments = C.json_value(c["arguments"])
         earlier = F.slice(calls, F.lit(1), k)
-        return F.array(
-            _error(c["message"], c["call"], 4, ~c["has_function"], CALL_FUNCTION),
-            _error(c["message"], c["call"], 5, ~c["has_name"], CALL_NAME),
-            _error(c["message"], c["call"], 6, c["arguments"].isNotNull() & arguments.isNull(), ARGUMENTS_JSON),
-            _error(c["message"], c["call"], 7, c["null_arguments"] | ~F.schema_of_variant(arguments).startswith("OBJECT"), ARGUMENTS_OBJECT),
-            _error(c["message"], c["call"], 8, c["id"].isNotNull() & F.exists(earlier, lambda e: e["id"] == c["id"]), TWICE_CALLED),
+        return C.let(
+            C.json_value(c["arguments"]),
+            lambda arguments: F.array(
+                _error(c["message"], c["call"], 4, ~c["has_function"], CALL_FUNCTION),
+                _error(c["message"], c["call"], 5, ~c["has_name"], CALL_NAME),
+                _error(c["message"], c["call"], 6, c["arguments"].isNotNull() & arguments.isNull(), ARGUMENTS_JSON),
+                _error(c["message"], c["call"], 7, c["null_arguments"] | ~F.schema_of_variant(arguments).startswith("OBJECT"), ARGUMENTS_OBJECT),
+                _error(c["message"], c["call"], 8, c["id"].isNotNull() & F.exists(earlier, lambda e: e["id"] == c["id"]), TWICE_CALLED),
+            ),
         )
 
     numbered = F.transform(messages, lambda m, i: F.struct(i.alias("at"), m["role"].alias("role"), m["tool_call_id"].alias("id")))
@@ -102,12 +104,13 @@ def _errors(messages: Column, calls: Column, reasoning_type: bool) -> Column:
     return F.array_compact(F.concat(F.flatten(F.transform(messages, of_message)), F.flatten(F.transform(calls, of_call)), F.flatten(F.transform(responses, of_response)), at_end))
 
 
-def convert(records: DataFrame) -> DataFrame:
+def convert(records: DataFrame, keep_calls: bool = False) -> DataFrame:
     """records with error (null if none), converted and conversion, its statistics (both null on error).
 
     Null messages convert like no messages: 'no trainable assistant output'. Where messages tell their
     reasoning_type, reasoning that is no string is an error like content that is none; tool_calls and
     reasoning that are null, false, zero or empty count as not given. Keys of arguments are sorted.
+    keep_calls adds calls, the parsed tool calls.
     """
     kind = records.schema["messages"].dataType
     messages, reasoning_type = F.coalesce(F.col("messages"), F.array().cast(kind)), "reasoning_type" in kind.elementType.names
@@ -125,7 +128,8 @@ def convert(records: DataFrame) -> DataFrame:
         F.size("converted").alias("output_messages"),
         C.total(F.transform("converted", lambda x: F.length(x["content"]))).alias("characters"),
     )
-    return rows.withColumn("conversion", F.when(F.col("error").isNull(), conversion)).drop("calls")
+    rows = rows.withColumn("conversion", F.when(F.col("error").isNull(), conversion))
+    return rows if keep_calls else rows.drop("calls")
 
 
 def closed_round_trips(converted: DataFrame) -> DataFrame:

@@ -119,7 +119,7 @@ def candidate_status(spark, folder):
     """record_id, source_file and status: the first gate a record fails, or candidate."""
     trajectories = table(spark, folder, "trajectories").select("record_id", "ingested_at", "source_file", "source_line", "_source", "messages")
     # conversion and tool checks are narrow results of the row itself
-    done = convert.convert(trajectories).withColumn("calls", C.tool_calls(F.col("messages")))
+    done = convert.convert(trajectories, keep_calls=True)
     done = done.withColumns({"n_calls": F.size("calls"), "tools": C.tools_status(F.col("calls")), "last_role": C.last_role(F.col("messages"))})
     kept = ["error", "n_calls", "tools", "last_role"]
     rows = resolved(spark, folder, "source_file", *kept, rows=located(done, *kept))
