@@ -65,6 +65,11 @@ def record_metrics(messages: str | Column = "messages") -> dict[str, Column]:
     }
 
 
+def is_list(column: str) -> Column:
+    """Whether a text is a JSON array; null and text that isn't JSON are none."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(column)).startswith("ARRAY"), F.lit(False))
+
+
 def with_calls(records: DataFrame) -> DataFrame:
     return records.withColumn("calls", C.tool_calls(F.col("messages")))
 

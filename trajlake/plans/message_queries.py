@@ -24,9 +24,9 @@ def q(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
-def deliveries(spark, folder):
-    """record_id, ingested_at and messages of every delivery."""
-    return table(spark, folder, "trajectories").select("record_id", "ingested_at", "messages")
+def deliveries(spark, folder, *more):
+    """record_id, ingested_at and messages of every delivery, and more columns if named."""
+    return table(spark, folder, "trajectories").select("record_id", "ingested_at", "messages", *more)
 
 
 def once(rows):
@@ -76,11 +76,12 @@ TOTAL = f"({_sum('')} + {_sum('assistant', 'reasoning_content')})"
 {TOTAL} AS total_chars, {_sum('assistant')} AS assistant_content_chars, {_sum('assistant', 'reasoning_content')} AS reasoning_chars, {_sum('tool')} AS tool_response_chars,
 round_even(coalesce({_sum('tool')}::DOUBLE / nullif({TOTAL}, 0), 0), 6) AS tool_response_char_ratio, count(*) FILTER (m.role = 'tool') AS tool_response_messages,
 coalesce(max(length(coalesce(m.content, ''))) FILTER (m.role = 'tool'), 0) AS tool_response_max_chars, count(*) FILTER (m.role = 'tool' AND length(m.content) > 4096) AS tool_response_over_4096,
-count(*) FILTER (m.role = 'tool' AND regexp_matches({LATIN.format('m.content')}, {q(C.TOOL_ERROR)})) AS tool_error_messages, length(coalesce(arg_max(coalesce(m.content, ''), i) FILTER (m.role = 'assistant'), '')) AS final_assistant_chars
-FROM msg GROUP BY record_id""",
+count(*) FILTER (m.role = 'tool' AND regexp_matches({LATIN.format('m.content')}, {q(C.TOOL_ERROR)})) AS tool_error_messages, length(coalesce(arg_max(coalesce(m.content, ''), i) FILTER (m.role = 'assistant'), '')) AS final_assistant_chars,
+any_value(listed) AS top_level_tools_present FROM msg JOIN (SELECT record_id, coalesce(json_type(CASE WHEN json_valid(tools) THEN tools END) = 'ARRAY', false) AS listed FROM tr) USING (record_id) GROUP BY record_id""",
 )
 def record_audit(spark, folder):
-    return once(audit.audit(deliveries(spark, folder)).select(*KEY, *AUDITED))
+    rows = audit.audit(deliveries(spark, folder, "tools")).withColumn("top_level_tools_present", audit.is_list("tools"))
+    return once(rows.select(*KEY, *AUDITED, "top_level_tools_present"))
 
 
 ARGS = LATIN.format("arguments")
