@@ -55,6 +55,18 @@ def test_document_shares_match_brute_force(spark):
     assert found
 
 
+def test_blocks_of_lists():
+    import pyarrow as pa
+
+    rows = [["x" * 3_000_000, None], None, [], ["y" * 3_000_000], ["z" * 9_000_000, "q"], ["r"], [None]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(rows, pa.list_(pa.string()))], ["id", "calls"])
+    for given in (batch, batch.slice(1), batch.slice(3, 2)):
+        parts = list(repeats._blocks(given))
+        assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([given]))
+    assert [p.num_rows for p in repeats._blocks(batch)] == [3, 1, 1, 2]
+    assert list(repeats._blocks(batch.slice(0, 0))) == []
+
+
 def test_units():
     units, letters = letter_units("Ａb c1d 中文_x")
     assert len(units) == 6 and not letters

@@ -159,13 +159,15 @@ def trajectory_items(trajectories: DataFrame) -> DataFrame:
 
 
 def _blocks(batch):
-    """Parts of a batch of at most BLOCK rows and about BLOCK_CHARS characters (of single texts)."""
+    """Parts of a batch of at most BLOCK rows and about BLOCK_CHARS bytes, but of one row at least."""
     column = batch.column(1)
     begin = 0
     if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
         ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     else:
-        ends = np.zeros(len(column), np.int64)
+        # of lists of texts, by the lengths of all texts of a row
+        texts = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(column.flatten()), 0).to_numpy(zero_copy_only=False)))
+        ends = texts[np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))]
     while begin < len(column):
         full = int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + BLOCK_CHARS, side="right"))
         end = min(len(column), begin + BLOCK, max(begin + 1, full))
