@@ -160,6 +160,60 @@ def test_coverage_below_the_limit(spark):
     assert got[1]["coverage"] == 0.98 and got[4]["coverage"] == 0.98 and got[3]["coverage"] == 0.0 and abs(got[2]["coverage"] - 0.5) < 0.04
 
 
+def test_frequent_fingerprints_are_counted_exactly(spark):
+    """Phrases about the limit, of all rows and not of a sample, some in one stretch of the table and some on one side."""
+    rng = random.Random(4)
+    n, rows = 3_000, []
+    holders = {}
+    for p in range(24):
+        size = 18 + p
+        side = range(n) if p % 3 else range(0, n, 2)
+        holders[p] = set(rng.sample(side, size)) if p % 2 else set(side[100 * p : 100 * p + size])
+    for i in range(n):
+        words = [f"o{i}x{k}" for k in range(8)]
+        for p in (p for p in holders if i in holders[p]):
+            words += [f"p{p}x{k}" for k in range(7)]
+        rows.append((i, "ab"[i % 2], " ".join(words)))
+    seqs = records(spark, rows)
+    df, in_a = {}, {}
+    for _, side, text in rows:
+        units = word_units(text)
+        units = (units ^ (units >> 32)).astype(np.int32).astype(np.int64)
+        for h in (h for k in overlap.schemes(len(units)) for h in overlap.fingerprints(units, k)[0].tolist()):
+            df[h] = df.get(h, 0) + 1
+            in_a[h] = in_a.get(h, 0) + (side == "a")
+    wanted = {h: 0 < in_a[h] < df[h] for h in df if df[h] >= 30}
+    assert set(wanted.values()) == {True, False} and any(25 < d < 30 for d in df.values())
+    for some, small in ((seqs, {}), (seqs.repartition(5), {"chunk": 400})):
+        prints, ranks = overlap.frequent_prints(some, "record_id", **small)
+        assert (np.diff(prints) > 0).all() and {h: r >= 0 for h, r in zip(prints.tolist(), ranks.tolist())} == wanted
+        both = [df[h] for _, h in sorted(zip(ranks.tolist(), prints.tolist())) if wanted[h]]
+        assert both == sorted(both)
+
+
+def test_coverage_counts_frequent_windows_by_side(spark):
+    """A phrase of many records is coverage if it stands on the other side, and none if it stands on this side only."""
+    word = lambda p, n: [f"{p}{i}" for i in range(n)]
+    rows = []
+    for i in range(60):
+        a, b = word("only", 80) + word("both", 20) + word(f"a{i}x", 100), word("both", 20) + word(f"b{i}x", 180)
+        rows += [(2 * i, "a", " ".join(a)), (2 * i + 1, "b", " ".join(b))]
+    rows.append((500, "a", " ".join(word("both", 20) + word("c", 110))))
+    seqs = records(spark, rows)
+    frequent = overlap.frequent_prints(seqs, "record_id")
+    shared = overlap.shared_prints(seqs, frequent=frequent)
+    got = {r["record_id"]: r for r in overlap.class_links(overlap.similar_classes(seqs, shared), overlap.members(seqs), overlap.containment(seqs, shared, frequent)).collect()}
+    seen = {r["record_id"]: (r["side"], np.frombuffer(r["units"], np.int32).astype(np.int64)) for r in seqs.collect()}
+    prints = {x: {h for side, u in seen.values() if side == x for k in overlap.schemes(len(u)) for h in overlap.fingerprints(u, k)[0].tolist()} for x in "ab"}
+    for rec, (side, u) in seen.items():
+        shares = []
+        for k in overlap.schemes(len(u)):
+            h, count, _ = overlap.fingerprints(u, k)
+            shares.append(sum(c for x, c in zip(h.tolist(), count.tolist()) if x in prints["b" if side == "a" else "a"]) / count.sum())
+        assert got[rec]["links"] == 0 and got[rec]["coverage"] == round(max(shares), 6)
+    assert 0.05 < got[0]["coverage"] < 0.12 and 0.08 < got[500]["coverage"] < 0.16
+
+
 def test_empty_tables_and_system_messages(spark):
     assert overlap.record_pairs(*(lambda s: (overlap.similar_classes(s), overlap.members(s)))(records(spark, [(1, "a", "x")]).filter("false"))).count() == 0
     kind = "m array<struct<role:string,content:string>>"

@@ -9,9 +9,9 @@
    most frequent ones as it may: fewer than least_windows. A pair within the limit still has a kept
    fingerprint in common (the rarest of those it shares is kept by both), so nothing is lost, and a
    phrase that stands in every record gives no pairs.
-   Fingerprints in a percent or more of a bounded sample are told beforehand and, as far as they may
-   be left out, are not sent at all. Those that must be sent are kept uncounted and spread over the
-   tasks, so no task counts a row of every record.
+   Fingerprints in a percent or more of all sequences are counted beforehand, each exactly and by side,
+   and, as far as they may be left out or stand on one side only, are not sent at all. Those that must be
+   sent are kept without counting them again and spread over the tasks, so no task counts a row of every record.
    Sequences are paired by fingerprint and band of length, which splits a frequent fingerprint over
    many keys; pairs whose lengths, whose places of the fingerprint or whose counts of units (in 64
    bins) differ by more than the edits allow are dropped.
@@ -48,8 +48,8 @@ LIMIT = 8
 SCHEMES = ((4, 1, 7, 16), (4, 2, 14, 128), (6, 2, 112, 1 << 62))
 #: Seeds of the alignment.
 SEED = 4
-#: Sequences in the sample that tells the frequent fingerprints, and the share that makes one frequent.
-SAMPLE, FREQUENT = 2_000, 0.01
+#: The share of all sequences, and the number of them, that make a fingerprint frequent; fingerprints that a task counts at once.
+FREQUENT, FREQUENT_LEAST, CHUNK = 0.01, 20, 2_000_000
 #: Sequences of a class that a task sends: one; classes it remembers.
 MEMO = 300_000
 ROWS = 1_000
@@ -127,47 +127,99 @@ def sequences(records: DataFrame, sides: DataFrame, key: str = "record_id") -> D
     return work_table(rows.mapInArrow(_sequences(key), f"`{key}` {kind}, side string, class binary, n int, bins binary, units binary"), "sequences")
 
 
-def _sample_prints(batches):
+def _each(batches, column: str):
+    """Of every sequence and scheme: the column's value, the scheme, the fingerprints and the windows each stands for."""
     for batch in batches:
-        found = [np.empty(0, np.int64)]
-        for data in batch.column("units").to_pylist():
+        for value, data in zip(batch.column(column).to_pylist(), batch.column("units").to_pylist()):
             units = np.frombuffer(data, np.int32).astype(np.int64)
-            found += [fingerprints(units, k)[0] for k in schemes(len(units))]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int64())], ["print"])
+            for k in schemes(len(units)):
+                yield value, k, *fingerprints(units, k)[:2]
 
 
-def frequent_prints(seqs: DataFrame, key: str, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of FREQUENT of a sample by hash, sorted, and their ranks by frequency.
+def _excess(share: float, chunk: int):
+    """Of every chunk of sequences the fingerprints in more than `share` of them, and by how many sequences more."""
 
-    At most 1 / FREQUENT times the fingerprints of a mean sequence, whatever the size of the corpus.
+    def told(found, n):
+        prints, counts = np.unique(np.concatenate(found), return_counts=True)
+        over = counts - share * n
+        return pa.RecordBatch.from_arrays([pa.array(prints[over > 0]), pa.array(over[over > 0])], ["print", "over"])
+
+    def run(batches):
+        found, n, size = [], 0, 0
+        for batch in batches:
+            for data in batch.column("units").to_pylist():
+                units = np.frombuffer(data, np.int32).astype(np.int64)
+                prints = [fingerprints(units, k)[0] for k in schemes(len(units))]
+                found += prints
+                n, size = n + 1, size + sum(map(len, prints))
+                if size >= chunk:
+                    yield told(found, n)
+                    found, n, size = [], 0, 0
+        if size:
+            yield told(found, n)
+
+    return run
+
+
+def _counted(prints: np.ndarray):
+    """In how many sequences of side a, and of both sides, each of the (sorted) fingerprints stands."""
+
+    def run(batches):
+        df = {side: np.zeros(len(prints), np.int64) for side in "ab"}
+        for side, _, h, _ in _each(batches, "side"):
+            at = np.minimum(np.searchsorted(prints, h), len(prints) - 1)
+            df[side][at[prints[at] == h]] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(prints), pa.array(df["a"]), pa.array(df["a"] + df["b"])], ["print", "in_a", "df"])
+
+    return run
+
+
+def frequent_prints(seqs: DataFrame, key: str = "record_id", chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of FREQUENT of all sequences, sorted, and their ranks by frequency, -1 if they stand on one side only.
+
+    Every row counts, whatever its key. What stands in a share of all sequences exceeds half of that share
+    in some chunks, by half of it or more in all, so these are found where the sequences lie and then counted
+    exactly over all of them. At most 2 / FREQUENT times the fingerprints of a mean sequence are counted, half
+    as many are frequent, whatever the size of the corpus.
     """
     n = seqs.count()
-    some = seqs.select(key, "units")
-    if n > sample:
-        some = some.filter(F.pmod(F.xxhash64(F.lit(5), key), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
-    size = min(n, sample)
-    counts = some.select("units").mapInArrow(_sample_prints, "print bigint").groupBy("print").agg(F.count(F.lit(1)).alias("df"))
-    rows = counts.filter(F.col("df") >= max(20, FREQUENT * size)).toPandas().sort_values(["df", "print"])
-    prints, ranks = rows["print"].to_numpy(np.int64), np.arange(len(rows))
+    least = max(FREQUENT_LEAST, FREQUENT * n)
+    none = np.empty(0, np.int64)
+    if n < least:
+        return none, none
+    # sums of fractions are not exact to the last bit, hence one less
+    over = seqs.select("units").mapInArrow(_excess(least / n / 2, chunk), "print bigint, over double").groupBy("print").agg(F.sum("over").alias("over"))
+    maybe = np.sort(over.filter(F.col("over") >= least / 2 - 1).select("print").toPandas()["print"].to_numpy(np.int64))
+    if not len(maybe):
+        return none, none
+    counts = seqs.select("side", "units").mapInArrow(_counted(maybe), "print bigint, in_a bigint, df bigint").groupBy("print").agg(F.sum("in_a").alias("in_a"), F.sum("df").alias("df"))
+    rows = counts.filter(F.col("df") >= least).toPandas().sort_values(["df", "print"])
+    prints, in_a, df = (rows[c].to_numpy(np.int64) for c in ("print", "in_a", "df"))
+    ranks = np.where((in_a > 0) & (in_a < df), np.arange(len(rows)), -1)
     order = np.argsort(prints)
     return prints[order], ranks[order]
 
 
+def _known(h: np.ndarray, frequent: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the fingerprints among the frequent ones, -1 for others; which are frequent and stand on both sides."""
+    if not len(frequent):
+        return np.full(len(h), -1), np.zeros(len(h), bool)
+    at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+    found = frequent[at] == h
+    return np.where(found, at, -1), found & (ranks[at] >= 0)
+
+
 def _sent(units: np.ndarray, scheme: int, frequent: np.ndarray, ranks: np.ndarray):
     """Fingerprints, counts and first places of a sequence that are sent; their number among the frequent ones, or -1; windows that may still be left out."""
     h, count, first = fingerprints(units, scheme)
     skip = least_windows(len(units), *SCHEMES[scheme][:2]) - 1
-    if not len(frequent):
-        return h, count, first, np.full(len(h), -1), skip
-    at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
-    often = frequent[at] == h
-    # of the frequent ones, the most frequent are left out as far as allowed; the others are sent
+    at, often = _known(h, frequent, ranks)
+    # of the frequent ones, those of one side can't be shared; the most frequent of the others are left out as far as allowed
     mine = np.flatnonzero(often)
     mine = mine[np.argsort(-ranks[at[mine]], kind="stable")]
-    out = mine[np.cumsum(count[mine]) <= skip]
-    keep = np.ones(len(h), bool)
-    keep[out] = False
-    return h[keep], count[keep], first[keep], np.where(often, at, -1)[keep], skip - int(count[mine].sum())
+    keep = often | (at < 0)
+    keep[mine[np.cumsum(count[mine]) <= skip]] = False
+    return h[keep], count[keep], first[keep], at[keep], skip - int(count[mine].sum())
 
 
 def _prints(key: str, frequent: np.ndarray, ranks: np.ndarray):
@@ -214,54 +266,47 @@ def _field(name: str) -> Column:
 
 
 def shared_prints(seqs: DataFrame, key: str = "record_id", frequent: tuple[np.ndarray, np.ndarray] | None = None, coverage: bool = True) -> DataFrame:
-    """A table of print, rec, meta, shared and kept of the fingerprints that stand on both sides (frequent ones are taken to).
+    """A table of print, rec, meta and kept of the fingerprints that stand on both sides and are sent.
 
-    shared: how many windows of rec and scheme they stand for; kept: whether rec is paired by this one.
-    Without coverage only print, rec and meta of the kept ones.
+    kept: whether rec is paired by this one. Without coverage only print, rec and meta of the kept ones.
     """
     prints, ranks = frequent_prints(seqs, key) if frequent is None else frequent
     lists = seqs.select(key, "side", "class", "units").mapInArrow(_prints(key, prints, ranks), "rec bigint, prints array<bigint>, metas array<bigint>")
     rows = lists.select("rec", F.explode(F.arrays_zip("prints", "metas")).alias("x")).select(F.col("x.prints").alias("print"), "rec", F.col("x.metas").alias("meta"))
-    # counted in place by a window, so that rows are sent once. The frequent ones that are sent at all must be kept
-    # whatever their count: they are spread by record, and taken to stand on both sides
+    # counted in place by a window, so that rows are sent once. The frequent ones that are sent at all stand on both
+    # sides and must be kept whatever their count: they are spread by record
     often, of = _field("often") == 1, Window.partitionBy("print")
     both = rows.withColumns({"in_a": F.sum(_field("on_a")).over(of), "df": F.count(F.lit(1)).over(of)}).filter(often | ((F.col("in_a") > 0) & (F.col("in_a") < F.col("df"))))
     number = F.when(F.col("print") < 0, -F.shiftright(-F.col("print"), SPREAD_BITS)).otherwise(F.col("print"))
     both = both.select(number.alias("print"), "rec", "meta", "df", (_field("forced") == 1).alias("forced"), _field("scheme").alias("scheme"))
     # from the most frequent one down, windows are left out while they are within the allowance
-    mine = Window.partitionBy("rec", "scheme")
-    free = mine.orderBy("forced", F.col("df").desc(), F.col("print").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    free = Window.partitionBy("rec", "scheme").orderBy("forced", F.col("df").desc(), F.col("print").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = both.withColumn("left", F.sum(F.when(F.col("forced"), F.lit(0)).otherwise(_field("count"))).over(free))
     kept = F.col("forced") | (F.col("left") > _field("skip"))
     if not coverage:
         return work_table(both.filter(kept).select("print", "rec", "meta"), "shared")
-    return work_table(both.select("print", "rec", "meta", F.sum(_field("count")).over(mine).alias("shared"), kept.alias("kept")), "shared")
+    return work_table(both.select("print", "rec", "meta", kept.alias("kept")), "shared")
 
 
 def _windows(key: str, frequent: np.ndarray, ranks: np.ndarray):
     def run(batches):
         for batch in batches:
-            recs, which, sizes = [], [], []
-            for rec, data in zip(batch.column(key).to_pylist(), batch.column("units").to_pylist()):
-                units = np.frombuffer(data, np.int32).astype(np.int64)
-                for k in schemes(len(units)):
-                    recs.append(rec)
-                    which.append(k)
-                    sizes.append(int(_sent(units, k, frequent, ranks)[1].sum()))
-            yield pa.RecordBatch.from_arrays([pa.array(recs, pa.int64()), pa.array(which, pa.int64()), pa.array(sizes, pa.int64())], ["rec", "scheme", "windows"])
+            rows = [(rec, k, int(count.sum()), int(count[_known(h, frequent, ranks)[1]].sum())) for rec, k, h, count in _each([batch], key)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], ["rec", "scheme", "windows", "often"])
 
     return run
 
 
 def containment(seqs: DataFrame, shared: DataFrame, frequent: tuple[np.ndarray, np.ndarray], key: str = "record_id") -> DataFrame:
-    """side, class and contained: the share of its windows sent whose fingerprints stand on the other side, too.
+    """side, class and contained: the share of its windows whose fingerprints stand on the other side, too.
 
-    Frequent fingerprints that were left out don't count on either hand, so a template that all records
-    have in common is no coverage. Sequences too short for windows, and those without a shared one, have no row.
+    All windows count, those of frequent fingerprints by the exact counts of both sides, sent or not.
+    Sequences too short for windows have no row.
     """
-    found = shared.groupBy("rec", _field("scheme").alias("scheme")).agg(F.max("shared").alias("shared"))
-    whole = seqs.join(found.select(F.col("rec").alias(key)).distinct(), key, "left_semi").select(key, "units").mapInArrow(_windows(key, *frequent), "rec bigint, scheme bigint, windows bigint")
-    parts = found.join(whole.distinct(), ["rec", "scheme"]).groupBy("rec").agg(F.max(F.least(F.lit(1.0), F.try_divide("shared", "windows"))).alias("contained"))
+    found = shared.filter(_field("often") == 0).groupBy("rec", _field("scheme").alias("scheme")).agg(F.sum(_field("count")).alias("shared"))
+    whole = seqs.select(key, "units").mapInArrow(_windows(key, *frequent), "rec bigint, scheme bigint, windows bigint, often bigint")
+    stand = F.coalesce("shared", F.lit(0)) + F.col("often")
+    parts = whole.distinct().join(found, ["rec", "scheme"], "left").groupBy("rec").agg(F.max(F.least(F.lit(1.0), F.try_divide(stand, "windows"))).alias("contained"))
     named = seqs.select(F.col(key).alias("rec"), "side", "class").distinct()
     return named.join(parts, "rec").groupBy("side", "class").agg(F.max("contained").alias("contained"))
 
